@@ -168,18 +168,27 @@ class RawTables:
         return self.spark.createDataFrame(COUNTRIES, "country string, country_id bigint")
 
     # -- calendar <- the years spanned by the transaction dates -------------------
+    def calendar_bounds(self) -> tuple[dt.date, dt.date]:
+        """First and last day of the calendar: Jan 1 of the first and Dec 31 of the
+        last year with an order or shipment date.
+
+        One aggregate job over the two date columns; only the two dates reach the
+        driver. Every calendar table is then generated from them, so no lookup
+        re-scans the facts.
+        """
+        if "_bounds" not in self._cache:
+            dates = (
+                self.driver("orders").select(F.col("o_orderdate").cast("date").alias("d"))
+                .unionByName(self.driver("lineitem").select(F.col("l_shipdate").cast("date").alias("d")))
+            )
+            row = dates.agg(F.min("d").alias("lo"), F.max("d").alias("hi")).first()
+            self._cache["_bounds"] = (dt.date(row["lo"].year, 1, 1), dt.date(row["hi"].year, 12, 31))
+        return self._cache["_bounds"]
+
     def calendar_days(self) -> DataFrame:
-        """One row per day from Jan 1 of the first to Dec 31 of the last data year."""
-        dates = (
-            self.driver("orders").select(F.col("o_orderdate").cast("date").alias("d"))
-            .unionByName(self.driver("lineitem").select(F.col("l_shipdate").cast("date").alias("d")))
-        )
-        bounds = dates.agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
-        return bounds.select(
-            F.explode(
-                day_sequence(F.trunc("lo", "year"), F.make_date(F.year("hi"), F.lit(12), F.lit(31)))
-            ).alias("d")
-        )
+        """One row per calendar day, generated in Spark from the bounds."""
+        lo, hi = self.calendar_bounds()
+        return self.spark.range(1).select(F.explode(day_sequence(F.lit(lo), F.lit(hi))).alias("d"))
 
     def _build_d_time(self) -> DataFrame:
         days = self.calendar_days()
@@ -193,13 +202,12 @@ class RawTables:
             (F.weekday(d) + 1).alias("weekday_id"),
         )
         # One unparseable row, as a raw feed would carry; staging must drop it.
-        first_year = days.agg(F.min("d").alias("lo"))
-        bad = first_year.select(
+        bad = self.spark.range(1).select(
             F.lit(MALFORMED_TIME_ID).cast("bigint").alias("time_id"),
             F.lit("None").alias("action_timestamp"),
             F.lit(1).alias("week_id"),
             F.lit(1).alias("month_id"),
-            F.year("lo").alias("year_id"),
+            F.lit(self.calendar_bounds()[0].year).alias("year_id"),
             F.lit(1).alias("weekday_id"),
         )
         return good.unionByName(bad)
