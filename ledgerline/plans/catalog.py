@@ -23,6 +23,7 @@ from ledgerline.sources.adapter import RawTables
 from ledgerline.functions.timeparse import null_marker, parse_ts
 from ledgerline.sources.schemas import RAW_TABLES
 from ledgerline.sources.sink import materialize
+from ledgerline.streaming.feeds import FEEDS, unify_available
 from ledgerline.streaming.ingest import ingest_available
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,6 +97,14 @@ def stream_ingest_pix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(*[n for n, _ in RAW_TABLES["pix_movements"]])
 
 
+def stream_unified_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three feeds streamed through staging and the union into one sink."""
+    root = _export_csv(spark, sf_dir, FEEDS, files=3)
+    sink = scratch_path(spark, "stream", "unified")
+    ckpt = scratch_path(spark, "stream", "unified-checkpoint")
+    return unify_available(spark, root, sink, ckpt)
+
+
 def materialize_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = models(spark, sf_dir)
     path = scratch_path(spark, "tables", "fct_account_monthly_balances")
@@ -143,6 +152,7 @@ QUERIES["parse_null_marker"] = parse_null_marker
 QUERIES["list_input_files"] = list_input_files
 QUERIES["raw_preview"] = raw_preview
 QUERIES["stream_ingest_pix"] = stream_ingest_pix
+QUERIES["stream_unified_transactions"] = stream_unified_transactions
 QUERIES["materialize_roundtrip"] = materialize_roundtrip
 
 # staging and base

@@ -99,36 +99,39 @@ def int_transactions_enriched(unified: DataFrame, calendar: DataFrame) -> DataFr
     )
 
 
-def account_date_range(stg_pix: DataFrame, stg_ins: DataFrame, stg_outs: DataFrame) -> DataFrame:
-    """First and last completion date per account over all three feeds."""
-    def dates(df: DataFrame) -> DataFrame:
-        return df.where(F.col("transaction_status") == "completed").select(
-            "account_id", F.to_date("transaction_completed_at").alias("completed_date")
-        )
+def account_date_range(unified: DataFrame) -> DataFrame:
+    """First and last completion date per account over all three feeds.
 
+    Reads the unified transactions: they are exactly the three staged feeds, so
+    the result equals the per-feed union of the source model, and a run that
+    has already written the unified table does not re-scan the raw feeds.
+    """
     return (
-        dates(stg_pix).unionByName(dates(stg_ins)).unionByName(dates(stg_outs))
+        unified.where(F.col("transaction_status") == "completed")
         .groupBy("account_id")
-        .agg(F.min("completed_date").alias("first_transaction_date"), F.max("completed_date").alias("last_transaction_date"))
+        .agg(
+            F.min(F.to_date("transaction_completed_at")).alias("first_transaction_date"),
+            F.max(F.to_date("transaction_completed_at")).alias("last_transaction_date"),
+        )
     )
 
 
 def int_account_monthly_spine(
     stg_accounts: DataFrame,
     calendar: DataFrame,
-    stg_pix: DataFrame,
-    stg_ins: DataFrame,
-    stg_outs: DataFrame,
+    unified: DataFrame,
     as_of: dt.date,
     default_start: dt.date = DEFAULT_START,
 ) -> DataFrame:
     """Every active account x every calendar month inside its activity range.
 
     Range = [month of first transaction, month of last transaction], or
-    [default_start, as_of] for accounts without transactions.
+    [default_start, as_of] for accounts without transactions. Each account
+    expands only its own months (no accounts x months cross product); the month
+    list is bounded by the calendar and broadcast behind a size check.
     """
     accounts = stg_accounts.where(F.col("account_status") == "active").select("account_id").distinct()
-    ranges = account_date_range(stg_pix, stg_ins, stg_outs)
+    ranges = account_date_range(unified)
     months = sized_broadcast(
         calendar.where(F.col("month_start_date").isNotNull())
         .select(F.col("month_start_date").alias("month_date"), F.col("year_number").alias("year"), F.col("month_number").alias("month"))

@@ -101,8 +101,8 @@ class BankModels:
         return self._get(
             "int_account_monthly_spine",
             lambda: I.int_account_monthly_spine(
-                self.stg_accounts, self.base_time_dimension, self.stg_pix_movements, self.stg_transfer_ins,
-                self.stg_transfer_outs, as_of=self.as_of, default_start=self.default_start,
+                self.stg_accounts, self.base_time_dimension, self.int_unified_transactions,
+                as_of=self.as_of, default_start=self.default_start,
             ),
         )
 

@@ -159,6 +159,7 @@ for _t in RAW:
 ORACLE["parse_null_marker"] = _parse_null_marker()
 ORACLE["raw_preview"] = _raw_preview()
 ORACLE["stream_ingest_pix"] = model("pix_movements")
+ORACLE["stream_unified_transactions"] = model("int_unified_transactions")
 ORACLE["materialize_roundtrip"] = model("fct_account_monthly_balances")
 for _m in [
     "stg_accounts", "stg_customers", "stg_pix_movements", "stg_transfer_ins", "stg_transfer_outs",

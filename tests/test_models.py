@@ -80,8 +80,7 @@ def test_spine_ranges_and_defaults(spark):
         [(1, TS(2020, 3, 15), "completed"), (1, TS(2020, 5, 2), "completed"), (1, None, "completed")],
         "account_id long, transaction_completed_at timestamp_ntz, transaction_status string",
     )
-    empty = stg.limit(0)
-    spine = I.int_account_monthly_spine(accounts, cal, stg, empty, empty, as_of=dt.date(2020, 10, 15), default_start=dt.date(2020, 8, 1))
+    spine = I.int_account_monthly_spine(accounts, cal, stg, as_of=dt.date(2020, 10, 15), default_start=dt.date(2020, 8, 1))
     got = sorted((r.account_id, r.month) for r in spine.collect())
     assert got == [(1, 3), (1, 4), (1, 5), (2, 8), (2, 9), (2, 10)]
 
