@@ -58,11 +58,12 @@ def _size_class(amount: Column) -> Column:
     return out
 
 
-def int_transactions_enriched(unified: DataFrame, calendar: DataFrame) -> DataFrame:
+def int_transactions_enriched(unified: DataFrame, calendar: DataFrame, calendar_fits: bool | None = None) -> DataFrame:
     """Left join to the calendar on the completion date; signed amount and classes.
 
     The calendar is unique per timestamp, not per date: several timestamps on one
     day repeat a transaction once per timestamp (kept, as in the source model).
+    ``calendar_fits`` is a broadcast verdict already reached for the calendar.
     """
     cal = sized_broadcast(
         calendar.select(
@@ -70,6 +71,7 @@ def int_transactions_enriched(unified: DataFrame, calendar: DataFrame) -> DataFr
             "weekday_name", "quarter_number", "month_start_date",
         ),
         LOOKUP_MAX_ROWS,
+        decided=calendar_fits,
     )
     t = unified.where(F.col("transaction_completed_at").isNotNull()).withColumn(
         "completed_day", F.to_date("transaction_completed_at")
@@ -122,6 +124,7 @@ def int_account_monthly_spine(
     unified: DataFrame,
     as_of: dt.date,
     default_start: dt.date = DEFAULT_START,
+    calendar_fits: bool | None = None,
 ) -> DataFrame:
     """Every active account x every calendar month inside its activity range.
 
@@ -137,6 +140,7 @@ def int_account_monthly_spine(
         .select(F.col("month_start_date").alias("month_date"), F.col("year_number").alias("year"), F.col("month_number").alias("month"))
         .distinct(),
         LOOKUP_MAX_ROWS,
+        decided=calendar_fits,
     )
     lo = F.coalesce(F.trunc("first_transaction_date", "MM"), F.lit(default_start))
     hi = F.coalesce(F.trunc("last_transaction_date", "MM"), F.lit(as_of))

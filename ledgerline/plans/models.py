@@ -15,6 +15,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame
 
 from ledgerline.functions import labels as L
+from ledgerline.operators.joins import fits
 from ledgerline.plans import intermediate as I
 from ledgerline.plans import marts as M
 from ledgerline.plans import staging as S
@@ -41,6 +42,26 @@ class BankModels:
             self._overrides[name] = build()
         return self._overrides[name]
 
+    def bound(self, table: str) -> int | None:
+        """Proven row bound of a raw table, when its source knows one."""
+        fn = getattr(self.raw, "row_bound", None)
+        return fn(table) if fn else None
+
+    def lookup_bounds(self, *tables: str) -> dict[str, int | None]:
+        return {t: self.bound(t) for t in tables}
+
+    @property
+    def calendar_fits(self) -> bool:
+        """Broadcast verdict for the calendar, reached once for all its consumers.
+
+        Proven when d_time's size is known and the lookups cannot fan out;
+        otherwise one counting job on the calendar decides.
+        """
+        if "_calendar_fits" not in self.__dict__:
+            known = self.bound("d_time") if getattr(self.raw, "unique_lookup_keys", False) else None
+            self.__dict__["_calendar_fits"] = fits(self.base_time_dimension, S.LOOKUP_MAX_ROWS, known_rows=known)
+        return self.__dict__["_calendar_fits"]
+
     def replace(self, name: str, df: DataFrame) -> None:
         """Swap a model for a materialized copy (downstream models then read it)."""
         self._overrides[name] = df
@@ -70,7 +91,9 @@ class BankModels:
     def base_location_hierarchy(self) -> DataFrame:
         return self._get(
             "base_location_hierarchy",
-            lambda: S.base_location_hierarchy(self.raw["city"], self.raw["state"], self.raw["country"]),
+            lambda: S.base_location_hierarchy(
+                self.raw["city"], self.raw["state"], self.raw["country"], self.lookup_bounds("state", "country")
+            ),
         )
 
     @property
@@ -78,7 +101,10 @@ class BankModels:
         r = self.raw
         return self._get(
             "base_time_dimension",
-            lambda: S.base_time_dimension(r["d_time"], r["d_week"], r["d_month"], r["d_year"], r["d_weekday"]),
+            lambda: S.base_time_dimension(
+                r["d_time"], r["d_week"], r["d_month"], r["d_year"], r["d_weekday"],
+                self.lookup_bounds("d_week", "d_month", "d_year", "d_weekday"),
+            ),
         )
 
     # -- intermediate ---------------------------------------------------------------
@@ -93,7 +119,9 @@ class BankModels:
     def int_transactions_enriched(self) -> DataFrame:
         return self._get(
             "int_transactions_enriched",
-            lambda: I.int_transactions_enriched(self.int_unified_transactions, self.base_time_dimension),
+            lambda: I.int_transactions_enriched(
+                self.int_unified_transactions, self.base_time_dimension, calendar_fits=self.calendar_fits
+            ),
         )
 
     @property
@@ -102,7 +130,7 @@ class BankModels:
             "int_account_monthly_spine",
             lambda: I.int_account_monthly_spine(
                 self.stg_accounts, self.base_time_dimension, self.int_unified_transactions,
-                as_of=self.as_of, default_start=self.default_start,
+                as_of=self.as_of, default_start=self.default_start, calendar_fits=self.calendar_fits,
             ),
         )
 

@@ -89,9 +89,12 @@ def stg_transfer_outs(transfer_outs: DataFrame) -> DataFrame:
     return stg_transfers(transfer_outs, L.DIRECTION_OUT, "transfer_outs")
 
 
-def base_location_hierarchy(city: DataFrame, state: DataFrame, country: DataFrame) -> DataFrame:
-    s = sized_broadcast(state.select("state_id", "state", "country_id"), LOOKUP_MAX_ROWS)
-    co = sized_broadcast(country.select("country_id", "country"), LOOKUP_MAX_ROWS)
+def base_location_hierarchy(
+    city: DataFrame, state: DataFrame, country: DataFrame, lookup_rows: dict[str, int | None] | None = None
+) -> DataFrame:
+    bounds = lookup_rows or {}
+    s = sized_broadcast(state.select("state_id", "state", "country_id"), LOOKUP_MAX_ROWS, known_rows=bounds.get("state"))
+    co = sized_broadcast(country.select("country_id", "country"), LOOKUP_MAX_ROWS, known_rows=bounds.get("country"))
     joined = (
         city.alias("c")
         .join(s.alias("s"), F.col("c.state_id") == F.col("s.state_id"), "left")
@@ -122,23 +125,34 @@ def _month_name(month_number: Column) -> Column:
 
 
 def base_time_dimension(
-    d_time: DataFrame, d_week: DataFrame, d_month: DataFrame, d_year: DataFrame, d_weekday: DataFrame
+    d_time: DataFrame,
+    d_week: DataFrame,
+    d_month: DataFrame,
+    d_year: DataFrame,
+    d_weekday: DataFrame,
+    lookup_rows: dict[str, int | None] | None = None,
 ) -> DataFrame:
-    """Calendar with ~30 derived attributes; only rows with a parseable timestamp."""
+    """Calendar with ~30 derived attributes; only rows with a parseable timestamp.
+
+    ``lookup_rows`` gives proven row bounds of the four lookups by table name
+    (``d_week`` ...); lookups without one are size-checked before broadcasting.
+    """
+    bounds = lookup_rows or {}
     parsed = d_time.select(
         "time_id", "week_id", "month_id", "year_id", "weekday_id", "action_timestamp",
         parse_ts_of(d_time, "action_timestamp").alias("ts"),
     ).where(F.col("action_timestamp").isNotNull() & F.col("time_id").isNotNull() & F.col("ts").isNotNull())
 
-    def lookup(df: DataFrame, key: str, value: str, alias: str) -> DataFrame:
-        return sized_broadcast(df.select(F.col(key).alias(f"{alias}_key"), F.col(value).alias(alias)), LOOKUP_MAX_ROWS)
+    def lookup(df: DataFrame, table: str, key: str, value: str, alias: str) -> DataFrame:
+        pairs = df.select(F.col(key).alias(f"{alias}_key"), F.col(value).alias(alias))
+        return sized_broadcast(pairs, LOOKUP_MAX_ROWS, known_rows=bounds.get(table))
 
     t = (
-        parsed.join(lookup(d_week, "week_id", "action_week", "week_number"), F.col("week_id") == F.col("week_number_key"), "left")
-        .join(lookup(d_month, "month_id", "action_month", "month_number"), F.col("month_id") == F.col("month_number_key"), "left")
-        .join(lookup(d_year, "year_id", "action_year", "year_number"), F.col("year_id") == F.col("year_number_key"), "left")
+        parsed.join(lookup(d_week, "d_week", "week_id", "action_week", "week_number"), F.col("week_id") == F.col("week_number_key"), "left")
+        .join(lookup(d_month, "d_month", "month_id", "action_month", "month_number"), F.col("month_id") == F.col("month_number_key"), "left")
+        .join(lookup(d_year, "d_year", "year_id", "action_year", "year_number"), F.col("year_id") == F.col("year_number_key"), "left")
         .join(
-            lookup(d_weekday, "weekday_id", "action_weekday", "weekday_name"),
+            lookup(d_weekday, "d_weekday", "weekday_id", "action_weekday", "weekday_name"),
             F.col("weekday_id") == F.col("weekday_name_key"),
             "left",
         )

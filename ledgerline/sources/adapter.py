@@ -42,13 +42,29 @@ class RawTables:
 
     # -- driver tables ----------------------------------------------------------
     def driver(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        key = f"driver:{name}"
+        if key not in self._cache:
+            self._cache[key] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._cache[key]
 
     def __getitem__(self, table: str) -> DataFrame:
         if table not in self._cache:
             self._cache[table] = conform(getattr(self, f"_build_{table}")(), table)
         return self._cache[table]
 
+    # Lookup tables generated here have unique keys, so joining them cannot fan out.
+    unique_lookup_keys = True
+
+    def row_bound(self, table: str) -> int | None:
+        """Upper bound of a table's rows proven by how it is generated (None: unknown)."""
+        if table == "country":
+            return len(COUNTRIES)
+        if not table.startswith("d_"):
+            return None
+        lo, hi = self.calendar_bounds()
+        days = (hi - lo).days + 1
+        return {"d_time": days + 1, "d_week": 53, "d_month": 12, "d_year": hi.year - lo.year + 1, "d_weekday": 7}[table]
+
     def names(self) -> list[str]:
         return [
             "pix_movements", "transfer_ins", "transfer_outs", "accounts", "customers", "city",

@@ -61,6 +61,12 @@ TABLE_KEYS = {
 }
 
 
+_TYPES = {
+    "bigint": T.LongType(), "int": T.IntegerType(), "string": T.StringType(), DECIMAL: T.DecimalType(18, 2),
+    "ts": T.TimestampNTZType(), "ts_marker": T.TimestampNTZType(),
+}
+
+
 def _spark_type(kind: str) -> str:
     return {"ts": "timestamp_ntz", "ts_marker": "timestamp_ntz"}.get(kind, kind)
 
@@ -72,7 +78,7 @@ def raw_string_schema(table: str) -> T.StructType:
 
 def typed_schema(table: str) -> T.StructType:
     return T.StructType(
-        [T.StructField(name, T.DataType.fromDDL(_spark_type(kind)), True) for name, kind in RAW_TABLES[table]]
+        [T.StructField(name, _TYPES[kind], True) for name, kind in RAW_TABLES[table]]
     )
 
 
@@ -101,5 +107,10 @@ def typed_projection(strings: DataFrame, table: str, permissive: bool = False) -
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
-    """Select and cast an already-typed frame to the declared layout."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in typed_schema(table).fields])
+    """Select and cast an already-typed frame to the declared layout (casts only where needed)."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+    cols = [
+        F.col(f.name) if have.get(f.name) == f.dataType else F.col(f.name).cast(f.dataType).alias(f.name)
+        for f in typed_schema(table).fields
+    ]
+    return df.select(*cols)
