@@ -38,7 +38,7 @@ def main() -> None:
 
         ingest = union_all(
             csv_scan.list_input_files(spark, f"{a.csv_root.rstrip('/')}/{t}").select(
-                F.lit(t).alias("table_name"), F.col("modificationTime").cast("timestamp_ntz").alias("seen_at")
+                F.lit(t).alias("table_name"), F.col("modificationTime").alias("seen_at")
             )
             for t in raw
         )

@@ -12,21 +12,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_EPOCH = dt.datetime(1970, 1, 1)
-
-
-def _epoch() -> Column:
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+_EPOCH_DATE = dt.date(1970, 1, 1)
+_DAY = 86400
 
 
 def epoch_to_ts(seconds: Column) -> Column:
-    """Epoch seconds (integral) -> TIMESTAMP_NTZ in UTC, independent of session tz."""
-    return F.timestamp_add("SECOND", seconds, _epoch())
+    """Epoch seconds (integral) -> TIMESTAMP_NTZ in UTC.
+
+    Pure calendar arithmetic (day number + time of day), so the result never
+    depends on the session time zone or its daylight-saving rules.
+    """
+    secs = seconds.cast("bigint")
+    sod = F.pmod(secs, F.lit(_DAY))
+    day = F.date_add(F.lit(_EPOCH_DATE), ((secs - sod) / F.lit(_DAY)).cast("int"))
+    return F.make_timestamp_ntz(
+        F.year(day), F.month(day), F.dayofmonth(day),
+        F.floor(sod / 3600).cast("int"), F.floor(F.pmod(sod, F.lit(3600)) / 60).cast("int"),
+        F.pmod(sod, F.lit(60)).cast("decimal(8,6)"),
+    )
 
 
 def ts_to_epoch(ts: Column) -> Column:
-    """TIMESTAMP_NTZ (UTC wall clock) -> epoch seconds as BIGINT."""
-    return F.timestamp_diff("SECOND", _epoch(), ts.cast("timestamp_ntz"))
+    """TIMESTAMP_NTZ (UTC wall clock) -> epoch seconds as BIGINT (whole seconds, zone-free)."""
+    t = ts.cast("timestamp_ntz")
+    days = F.datediff(F.to_date(t), F.lit(_EPOCH_DATE)).cast("bigint")
+    return days * _DAY + F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
 
 
 def parse_ts(col: Column, dtype: T.DataType | None = None) -> Column:

@@ -180,14 +180,16 @@ def freshness(
     ``ingest_log`` has (table_name, seen_at) rows, e.g. file modification times.
     A stale or missing high-frequency table is ``critical``; medium is ``warning``.
     """
-    now = as_of if as_of is not None else F.current_timestamp().cast("timestamp_ntz")
+    now = as_of if as_of is not None else F.current_timestamp()
     last = ingest_log.groupBy("table_name").agg(F.max("seen_at").alias("last_seen"))
     limit = F.lit(None).cast("int")
     for cat, h in hours.items():
         limit = F.when(F.col("category") == cat, F.lit(h)).otherwise(limit)
     tracked = categories.where(F.col("category").isin(list(hours)))
     j = tracked.join(last, "table_name", "left").withColumn("limit_hours", limit)
-    fresh = F.coalesce(F.col("last_seen") > F.timestamp_add("HOUR", -F.col("limit_hours"), now), F.lit(False))
+    # compare instants in epoch seconds: exact, with no daylight-saving arithmetic
+    age_seconds = F.unix_seconds(now.cast("timestamp")) - F.unix_seconds(F.col("last_seen").cast("timestamp"))
+    fresh = F.coalesce(age_seconds < F.col("limit_hours") * 3600, F.lit(False))
     return j.select(
         "table_name", "category", "last_seen", "limit_hours", fresh.alias("is_fresh"),
         F.when(fresh, "ok").when(F.col("category") == "high_frequency", "critical").otherwise("warning").alias("severity"),

@@ -122,7 +122,7 @@ def _ingest_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     for table, sources in SOURCE_FILES.items():
         for src in sources:
             files = csv_scan.list_input_files(spark, f"{sf_dir.rstrip('/')}/{src}.parquet", pattern="*")
-            frames.append(files.select(F.lit(table).alias("table_name"), F.col("modificationTime").cast("timestamp_ntz").alias("seen_at")))
+            frames.append(files.select(F.lit(table).alias("table_name"), F.col("modificationTime").alias("seen_at")))
     return Q.union_all(frames)
 
 

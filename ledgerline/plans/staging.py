@@ -197,7 +197,7 @@ def base_time_dimension(
         F.col("ts").alias("utc_timestamp"),
         F.to_date("ts").alias("utc_date"),
         F.trunc("ts", "MM").alias("month_start_date"),
-        F.date_trunc("week", "ts").cast("date").alias("week_start_date"),
+        F.trunc(F.to_date("ts"), "week").alias("week_start_date"),
         F.trunc("ts", "year").alias("year_start_date"),
         F.trunc("ts", "quarter").alias("quarter_start_date"),
         "is_weekday", "is_summer_brazil", "is_winter_brazil", "is_month_start", "is_month_end",

@@ -20,7 +20,7 @@ from ledgerline.session import scratch_path
 
 def with_metadata(df: DataFrame, loaded: bool = True, processed: bool = False) -> DataFrame:
     """Append the ``_loaded_at`` / ``_processed_at`` audit columns."""
-    now = F.current_timestamp().cast("timestamp_ntz")
+    now = F.current_timestamp()
     cols = [F.col(c) for c in df.columns]
     if loaded and "_loaded_at" not in df.columns:
         cols.append(now.alias("_loaded_at"))

@@ -32,7 +32,7 @@ def typed_stream(raw: DataFrame, table: str, permissive: bool = False) -> DataFr
     return raw.select(
         *typed_columns(table, permissive),
         F.col("_metadata.file_path").alias("_source_file"),
-        F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("_file_modified_at"),
+        F.col("_metadata.file_modification_time").alias("_file_modified_at"),
     )
 
 

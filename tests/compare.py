@@ -51,6 +51,14 @@ def rows_digest(columns: list[str], rows: list[tuple]) -> str:
     return hashlib.sha256("\n".join(canon).encode()).hexdigest()
 
 
+def _spark_type_name(dt) -> str:
+    s = dt.simpleString()
+    return {
+        "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE",
+        "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE", "double": "DOUBLE",
+    }.get(s, s.upper())
+
+
 def compare(spark, con, key: str, fn, sql: str | None, sf_dir: str) -> dict:
     t0 = time.time()
     df = fn(spark, sf_dir)
@@ -65,6 +73,11 @@ def compare(spark, con, key: str, fn, sql: str | None, sf_dir: str) -> dict:
     drows = rel.fetchall()
     out["duck_rows"] = len(drows)
     out["cols_match"] = sorted(scols) == sorted(dcols)
+    stypes = {f.name: _spark_type_name(f.dataType) for f in df.schema.fields}
+    dtypes = {c: str(t) for c, t in zip(dcols, rel.types)}
+    type_diff = {c: (stypes[c], dtypes.get(c)) for c in stypes if stypes[c] != dtypes.get(c)}
+    if type_diff:
+        out["type_diff"] = type_diff
     out["hash_match"] = out["cols_match"] and rows_digest(scols, srows) == rows_digest(dcols, drows)
     out["status"] = "ok" if (out["hash_match"] and len(srows) == len(drows)) else "MISMATCH"
     if out["status"] != "ok":
