@@ -8,7 +8,7 @@ every model downstream reads real, growing data:
 * pix_movements         <- orders
 * transfer_ins / _outs  <- lineitem join orders (returned 'A' / 'R' lines)
 * city / state          <- nation / region
-* country               <- fixed list (5 rows)
+* country               <- region (one country per region; names from a fixed list)
 * d_time and lookups    <- every day of the years spanned by order and ship dates
 
 The modulo expressions only synthesise bank attributes (status, direction,
@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from ledgerline.functions.timeparse import day_sequence, ts_to_epoch
 from ledgerline.sources.schemas import DECIMAL, conform
 
-# --- fixed values: country table and adapter constants -------------------------
-COUNTRIES = [("Brazil", 1), ("Argentina", 2), ("Mexico", 3), ("Colombia", 4), ("Chile", 5)]
+# --- fixed values: country names (by country id 1..5) and adapter constants ----
+COUNTRY_NAMES = ["Brazil", "Argentina", "Mexico", "Colombia", "Chile"]
 ACCOUNT_EPOCH = dt.date(1995, 1, 1)
 MALFORMED_TIME_ID = -1
 
@@ -57,8 +57,6 @@ class RawTables:
 
     def row_bound(self, table: str) -> int | None:
         """Upper bound of a table's rows proven by how it is generated (None: unknown)."""
-        if table == "country":
-            return len(COUNTRIES)
         if not table.startswith("d_"):
             return None
         lo, hi = self.calendar_bounds()
@@ -181,7 +179,15 @@ class RawTables:
         )
 
     def _build_country(self) -> DataFrame:
-        return self.spark.createDataFrame(COUNTRIES, "country string, country_id bigint")
+        # country_id = region key + 1, the id each state points at; regions beyond
+        # the named list get a NULL name (they still exist as countries).
+        r = self.driver("region").select("r_regionkey")
+        cid = F.col("r_regionkey") + 1
+        names = F.array(*[F.lit(n) for n in COUNTRY_NAMES])
+        return r.select(
+            F.when(cid <= len(COUNTRY_NAMES), F.element_at(names, cid.cast("int"))).alias("country"),
+            cid.cast("bigint").alias("country_id"),
+        )
 
     # -- calendar <- the years spanned by the transaction dates -------------------
     def calendar_bounds(self) -> tuple[dt.date, dt.date]:

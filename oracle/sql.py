@@ -109,8 +109,9 @@ SELECT r_name AS state, CAST(r_regionkey + 1 AS INTEGER) AS country_id, CAST(r_r
 FROM region"""
 
 CTES["country"] = """
-SELECT country, CAST(country_id AS BIGINT) AS country_id
-FROM (VALUES ('Brazil', 1), ('Argentina', 2), ('Mexico', 3), ('Colombia', 4), ('Chile', 5)) v(country, country_id)"""
+SELECT CASE WHEN r_regionkey + 1 <= 5 THEN ['Brazil', 'Argentina', 'Mexico', 'Colombia', 'Chile'][r_regionkey + 1] END AS country,
+       CAST(r_regionkey + 1 AS BIGINT) AS country_id
+FROM region"""
 
 CTES["cal_bounds"] = """
 SELECT min(d) AS lo, max(d) AS hi
