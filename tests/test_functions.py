@@ -52,3 +52,21 @@ def test_month_sequence_bounds(spark):
     assert got[0] == [dt.date(2020, 1, 1), dt.date(2020, 2, 1), dt.date(2020, 3, 1)]
     assert got[1] == [dt.date(2020, 2, 1), dt.date(2020, 3, 1)]  # month start must be >= lo
     assert got[2] == []
+
+
+def test_epoch_conversions_ignore_session_time_zone(spark):
+    """Brazilian daylight-saving switches at local midnight must not shift UTC values."""
+    from ledgerline.functions.timeparse import epoch_to_ts, ts_to_epoch
+
+    seconds = [0, 876096000, 876099600, 940723200, 951868799, 1577836800, -86401]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ["UTC", "America/Sao_Paulo", "Asia/Tokyo"]:
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            df = spark.createDataFrame([(s,) for s in seconds], "s long")
+            got = df.select("s", epoch_to_ts(F.col("s")).alias("t")).select("s", "t", ts_to_epoch(F.col("t")).alias("back")).collect()
+            for r in got:
+                assert r.t == dt.datetime(1970, 1, 1) + dt.timedelta(seconds=r.s), (tz, r)
+                assert r.back == r.s, (tz, r)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
