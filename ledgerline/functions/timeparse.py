@@ -39,19 +39,35 @@ def ts_to_epoch(ts: Column) -> Column:
     return days * _DAY + F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
 
 
-def parse_ts(col: Column, dtype: T.DataType | None = None) -> Column:
+# Magnitude limits for reading an integer as seconds / ms / us / ns (auto_scale=True).
+_SCALE_LIMITS = [(31536000000, 1), (31536000000000, 1000), (31536000000000000, 1000000)]
+
+
+def _scaled_seconds(n: Column) -> Column:
+    """Integer epoch of unknown unit -> seconds, by magnitude (ms, us, ns above the limits)."""
+    mag = F.abs(n)
+    out = F.floor(n / F.lit(1000000000)).cast("bigint")
+    for limit, div in reversed(_SCALE_LIMITS):
+        out = F.when(mag < limit, n if div == 1 else F.floor(n / F.lit(div)).cast("bigint")).otherwise(out)
+    return out
+
+
+def parse_ts(col: Column, dtype: T.DataType | None = None, auto_scale: bool = False) -> Column:
     """``TO_TIMESTAMP`` of a string, epoch number or timestamp.
 
-    Strings holding an integer are epoch seconds; other strings are parsed as
-    ISO date/time text; anything unparseable becomes NULL (never raises).
+    Strings holding an integer are epoch seconds (or, with ``auto_scale``, seconds /
+    milliseconds / microseconds / nanoseconds chosen by magnitude); other strings
+    are parsed as ISO date/time text; anything unparseable becomes NULL (never raises).
     """
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return col.cast("timestamp_ntz")
     if isinstance(dtype, (T.LongType, T.IntegerType, T.ShortType, T.DecimalType)):
-        return epoch_to_ts(col.cast("bigint"))
+        n = col.cast("bigint")
+        return epoch_to_ts(_scaled_seconds(n) if auto_scale else n)
     text = F.trim(col.cast("string"))
     as_epoch = text.try_cast("bigint")
-    return F.when(as_epoch.isNotNull(), epoch_to_ts(as_epoch)).otherwise(text.try_cast("timestamp_ntz"))
+    seconds = _scaled_seconds(as_epoch) if auto_scale else as_epoch
+    return F.when(as_epoch.isNotNull(), epoch_to_ts(seconds)).otherwise(text.try_cast("timestamp_ntz"))
 
 
 def parse_ts_of(df: DataFrame, name: str) -> Column:

@@ -70,3 +70,9 @@ def test_epoch_conversions_ignore_session_time_zone(spark):
                 assert r.back == r.s, (tz, r)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_parse_ts_auto_scale(spark):
+    df = spark.createDataFrame([("946684800",), ("946684800123",), ("946684800123456",), ("946684800123456789",)], "s string")
+    got = [r.t for r in df.select(parse_ts(F.col("s"), auto_scale=True).alias("t")).collect()]
+    assert got == [dt.datetime(2000, 1, 1)] * 4
