@@ -16,20 +16,19 @@ _EPOCH_DATE = dt.date(1970, 1, 1)
 _DAY = 86400
 
 
+def _epoch_ntz() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
 def epoch_to_ts(seconds: Column) -> Column:
     """Epoch seconds (integral) -> TIMESTAMP_NTZ in UTC.
 
-    Pure calendar arithmetic (day number + time of day), so the result never
-    depends on the session time zone or its daylight-saving rules.
+    NTZ plus a day-time interval is plain microsecond arithmetic, so the result
+    never depends on the session time zone or its daylight-saving rules (unlike
+    ``timestampadd`` on NTZ, which applies the session zone).
     """
-    secs = seconds.cast("bigint")
-    sod = F.pmod(secs, F.lit(_DAY))
-    day = F.date_add(F.lit(_EPOCH_DATE), ((secs - sod) / F.lit(_DAY)).cast("int"))
-    return F.make_timestamp_ntz(
-        F.year(day), F.month(day), F.dayofmonth(day),
-        F.floor(sod / 3600).cast("int"), F.floor(F.pmod(sod, F.lit(3600)) / 60).cast("int"),
-        F.pmod(sod, F.lit(60)).cast("decimal(8,6)"),
-    )
+    secs = seconds.cast("decimal(18,6)")
+    return _epoch_ntz() + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
 
 
 def ts_to_epoch(ts: Column) -> Column:

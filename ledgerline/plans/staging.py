@@ -41,16 +41,25 @@ def _direction_from_type(raw: Column) -> Column:
     return F.when(norm == "pix_in", L.DIRECTION_IN).when(norm == "pix_out", L.DIRECTION_OUT).otherwise("unknown")
 
 
+def _completion_parts(df: DataFrame) -> list[Column]:
+    """Year and month of the already-parsed completion time (parsed once, referenced here)."""
+    done = F.col("transaction_completed_at")
+    return [F.year(done).alias("completed_year"), F.month(done).alias("completed_month")]
+
+
 def stg_pix_movements(pix: DataFrame) -> DataFrame:
-    completed = parse_ts_of(pix, "pix_completed_at")
-    return pix.where(F.col("status") == "completed").select(
+    parsed = pix.where(F.col("status") == "completed").select(
         F.col("id").alias("transaction_id"),
         "account_id",
         F.col("pix_amount").alias("transaction_amount"),
         parse_ts_of(pix, "pix_requested_at").alias("transaction_requested_at"),
-        completed.alias("transaction_completed_at"),
-        F.year(completed).alias("completed_year"),
-        F.month(completed).alias("completed_month"),
+        parse_ts_of(pix, "pix_completed_at").alias("transaction_completed_at"),
+        "status",
+        "in_or_out",
+    )
+    return parsed.select(
+        "transaction_id", "account_id", "transaction_amount", "transaction_requested_at", "transaction_completed_at",
+        *_completion_parts(parsed),
         "status",
         F.col("in_or_out").alias("transaction_type"),
         F.lower(F.trim(F.col("status"))).alias("transaction_status"),
@@ -66,15 +75,17 @@ def stg_transfers(transfers: DataFrame, direction: str, source_table: str) -> Da
     timestamp in the pipe load; ``parse_ts`` accepts both and never raises, so the
     cast cannot fail on rows the status filter would drop.
     """
-    completed = parse_ts_of(transfers, "transaction_completed_at")
-    return transfers.where(F.col("status") == "completed").select(
+    parsed = transfers.where(F.col("status") == "completed").select(
         F.col("id").alias("transaction_id"),
         "account_id",
         F.col("amount").alias("transaction_amount"),
         parse_ts_of(transfers, "transaction_requested_at").alias("transaction_requested_at"),
-        completed.alias("transaction_completed_at"),
-        F.year(completed).alias("completed_year"),
-        F.month(completed).alias("completed_month"),
+        parse_ts_of(transfers, "transaction_completed_at").alias("transaction_completed_at"),
+        "status",
+    )
+    return parsed.select(
+        "transaction_id", "account_id", "transaction_amount", "transaction_requested_at", "transaction_completed_at",
+        *_completion_parts(parsed),
         F.lower(F.trim(F.col("status"))).alias("transaction_status"),
         F.lit(direction).alias("transaction_direction"),
         F.lit(source_table).alias("source_table"),

@@ -36,13 +36,18 @@ def materialize(
     bloom_columns: Sequence[str] = (),
     partition_by: Sequence[str] = (),
     files_per_write: int | None = None,
+    max_records_per_file: int = 5_000_000,
 ) -> DataFrame:
-    """Overwrite ``path`` with ``df`` and return the table read back."""
+    """Overwrite ``path`` with ``df`` and return the table read back.
+
+    ``max_records_per_file`` bounds file size whatever the partition sizes are
+    (a large range partition is written as several files, each still sorted).
+    """
     out = df
     if cluster_by:
         out = out.repartitionByRange(files_per_write, *cluster_by) if files_per_write else out.repartitionByRange(*cluster_by)
         out = out.sortWithinPartitions(*cluster_by)
-    writer = out.write.mode("overwrite")
+    writer = out.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
     for c in bloom_columns:
         writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
     if partition_by:
