@@ -52,13 +52,12 @@ def main() -> None:
         times[key] = round(time.perf_counter() - t0, 3)
         print(f"{key}: {times[key]}s", file=sys.stderr, flush=True)
     # Full run: every model written once as a table, shared models re-read (not in the total).
-    import tempfile
-
     from ledgerline.plans import runner
+    from ledgerline.session import scratch_path
     from ledgerline.sources.adapter import RawTables
 
     t0 = time.perf_counter()
-    runner.run(spark, RawTables(spark, sf_dir), tempfile.mkdtemp(prefix="bench-run-"))
+    runner.run(spark, RawTables(spark, sf_dir), scratch_path(spark, "bench", "warehouse"))
     full_run = round(time.perf_counter() - t0, 3)
     print(f"full_run: {full_run}s", file=sys.stderr, flush=True)
     sf = sf_dir.rsplit("sf", 1)[-1]
