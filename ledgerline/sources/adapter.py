@@ -12,7 +12,9 @@ every model downstream reads real, growing data:
 * d_time and lookups    <- every day of the years spanned by order and ship dates
 
 The modulo expressions only synthesise bank attributes (status, direction,
-missing values, a few orphan accounts); no rows are dropped to save work.
+missing values). Every driver row becomes a bank row: orphan transactions and
+accounts without transactions come from remapping a few ids to values no
+other table uses, never from dropping rows.
 """
 
 from __future__ import annotations
@@ -30,6 +32,14 @@ from ledgerline.sources.schemas import DECIMAL, conform
 COUNTRY_NAMES = ["Brazil", "Argentina", "Mexico", "Colombia", "Chile"]
 ACCOUNT_EPOCH = dt.date(1995, 1, 1)
 MALFORMED_TIME_ID = -1
+# Id offsets that make a key match nothing on the other side.
+UNLISTED_ACCOUNT_OFFSET = 1_000_000_000_000     # accounts no transaction points at
+ORPHAN_ACCOUNT_OFFSET = 2_000_000_000_000       # transactions of accounts that do not exist
+
+
+def _transaction_account(custkey):
+    """Account of an order's transactions; 1 customer in 50 points at a missing account."""
+    return F.when(custkey % 50 == 7, custkey + F.lit(ORPHAN_ACCOUNT_OFFSET)).otherwise(custkey)
 
 
 class RawTables:
@@ -73,8 +83,8 @@ class RawTables:
     def _build_accounts(self) -> DataFrame:
         c = self.driver("customer").select("c_custkey", "c_name")
         key = F.col("c_custkey")
-        return c.where(key % 50 != 49).select(
-            key.alias("account_id"),
+        return c.select(
+            F.when(key % 50 == 49, key + F.lit(UNLISTED_ACCOUNT_OFFSET)).otherwise(key).alias("account_id"),
             F.col("c_name").alias("account_name"),
             F.date_add(F.lit(ACCOUNT_EPOCH), (key % 2000).cast("int")).cast("timestamp_ntz").alias("created_at"),
             F.when(key % 10 == 3, "inactive").otherwise("active").alias("status"),
@@ -115,9 +125,9 @@ class RawTables:
             .when(key % 23 == 3, F.lit(Decimal("1500000.00")))
             .otherwise(F.col("o_totalprice").cast(DECIMAL))
         )
-        return o.where(F.col("o_custkey") % 50 != 7).select(
+        return o.select(
             key.alias("id"),
-            F.col("o_custkey").alias("account_id"),
+            _transaction_account(F.col("o_custkey")).alias("account_id"),
             amount.cast(DECIMAL).alias("pix_amount"),
             F.col("o_orderdate").cast("timestamp_ntz").alias("pix_requested_at"),
             F.when(pending, F.lit(None).cast("timestamp_ntz"))
@@ -137,16 +147,12 @@ class RawTables:
             .where(F.col("l_returnflag") == return_flag)
             .select("l_orderkey", "l_linenumber", "l_extendedprice", "l_linestatus", "l_shipdate")
         )
-        o = (
-            self.driver("orders")
-            .where(F.col("o_custkey") % 50 != 7)
-            .select("o_orderkey", "o_custkey", "o_orderdate")
-        )
+        o = self.driver("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
         shipped = F.col("l_linestatus") == "F"
         return j.select(
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
-            F.col("o_custkey").alias("account_id"),
+            _transaction_account(F.col("o_custkey")).alias("account_id"),
             F.col("l_extendedprice").cast(DECIMAL).alias("amount"),
             ts_to_epoch(F.col("o_orderdate")).cast("string").alias("transaction_requested_at"),
             F.when(shipped, ts_to_epoch(F.col("l_shipdate")).cast("string"))

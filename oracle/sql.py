@@ -56,10 +56,10 @@ CTES: dict[str, str] = {}
 
 # adapter: driver tables -> raw bank tables
 CTES["accounts"] = """
-SELECT c_custkey AS account_id, c_name AS account_name,
+SELECT CASE WHEN c_custkey % 50 = 49 THEN c_custkey + 1000000000000 ELSE c_custkey END AS account_id, c_name AS account_name,
        CAST(DATE '1995-01-01' + CAST(c_custkey % 2000 AS INTEGER) AS TIMESTAMP) AS created_at,
        CASE WHEN c_custkey % 10 = 3 THEN 'inactive' ELSE 'active' END AS status
-FROM customer WHERE c_custkey % 50 <> 49"""
+FROM customer"""
 
 CTES["customers"] = """
 SELECT c_custkey AS customer_id,
@@ -72,24 +72,25 @@ SELECT c_custkey AS customer_id,
 FROM customer"""
 
 CTES["pix_movements"] = """
-SELECT o_orderkey AS id, o_custkey AS account_id,
+SELECT o_orderkey AS id, CASE WHEN o_custkey % 50 = 7 THEN o_custkey + 2000000000000 ELSE o_custkey END AS account_id,
        CAST(CASE o_orderkey % 23 WHEN 1 THEN CAST(50.00 AS DECIMAL(18,2)) WHEN 2 THEN CAST(0 AS DECIMAL(18,2))
                  WHEN 3 THEN CAST(1500000 AS DECIMAL(18,2)) ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS DECIMAL(18,2)) AS pix_amount,
        CAST(o_orderdate AS TIMESTAMP) AS pix_requested_at,
        CASE WHEN o_orderstatus = 'P' THEN NULL ELSE CAST(o_orderdate AS TIMESTAMP) END AS pix_completed_at,
        CASE WHEN o_orderstatus = 'P' THEN 'failed' ELSE 'completed' END AS status,
        CASE WHEN o_orderkey % 17 = 0 THEN 'pix_other' WHEN o_orderkey % 2 = 0 THEN 'pix_in' ELSE ' PIX_OUT ' END AS in_or_out
-FROM orders WHERE o_custkey % 50 <> 7"""
+FROM orders"""
 
 CTES["transfers_all"] = f"""
-SELECT l.l_orderkey * 10 + l.l_linenumber AS id, o.o_custkey AS account_id,
+SELECT l.l_orderkey * 10 + l.l_linenumber AS id,
+       CASE WHEN o.o_custkey % 50 = 7 THEN o.o_custkey + 2000000000000 ELSE o.o_custkey END AS account_id,
        CAST(l.l_extendedprice AS DECIMAL(18,2)) AS amount,
        {epoch_text('o.o_orderdate')} AS transaction_requested_at,
        CASE WHEN l.l_linestatus = 'F' THEN {epoch_text('l.l_shipdate')} ELSE 'None' END AS transaction_completed_at,
        CASE WHEN l.l_linestatus = 'F' THEN 'completed' ELSE 'pending' END AS status,
        l.l_returnflag AS return_flag
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-WHERE o.o_custkey % 50 <> 7 AND l.l_returnflag IN ('A', 'R')"""
+WHERE l.l_returnflag IN ('A', 'R')"""
 
 CTES["transfer_ins"] = """
 SELECT id, account_id, amount, transaction_requested_at, transaction_completed_at, status
