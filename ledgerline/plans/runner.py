@@ -39,6 +39,12 @@ LAYOUT: dict[str, tuple[list[str], list[str]]] = {
     "report_monthly_business_kpi": (["report_month"], []),
     "report_customer_segmentation": (["customer_segment"], []),
 }
+# Unique tie-break columns that let a hot cluster key spread over many write tasks.
+SPLIT_BY: dict[str, list[str]] = {
+    "base_time_dimension": ["time_id"],
+    "int_transactions_enriched": ["transaction_id"],
+    "fct_transactions": ["transaction_id"],
+}
 # Written first and re-read by downstream models.
 SHARED = ["base_time_dimension", "int_unified_transactions", "int_transactions_enriched", "int_account_monthly_spine"]
 # Marts carry a processing timestamp as well as the load timestamp.
@@ -92,7 +98,7 @@ def run(
         df = _model_frame(m, name)
         if name in ("base_time_dimension", "int_account_monthly_spine"):
             df = with_metadata(df)
-        table = materialize(df, path, cluster_by=cluster, bloom_columns=bloom)
+        table = materialize(df, path, cluster_by=cluster, bloom_columns=bloom, split_by=SPLIT_BY.get(name, []))
         m.replace(name, table)
         result.tables[name] = path
 
@@ -103,7 +109,7 @@ def run(
         cluster, bloom = LAYOUT[name]
         df = with_metadata(_model_frame(m, name), loaded=True, processed=name in PROCESSED)
         path = f"{out_root.rstrip('/')}/{name}"
-        materialize(df, path, cluster_by=cluster, bloom_columns=bloom)
+        materialize(df, path, cluster_by=cluster, bloom_columns=bloom, split_by=SPLIT_BY.get(name, []))
         result.tables[name] = path
 
     # 4. data tests over the built models (lazy; the caller decides what to run)

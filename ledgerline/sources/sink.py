@@ -34,6 +34,7 @@ def materialize(
     path: str,
     cluster_by: Sequence[str] = (),
     bloom_columns: Sequence[str] = (),
+    split_by: Sequence[str] = (),
     partition_by: Sequence[str] = (),
     files_per_write: int | None = None,
     max_records_per_file: int = 5_000_000,
@@ -42,11 +43,16 @@ def materialize(
 
     ``max_records_per_file`` bounds file size whatever the partition sizes are
     (a large range partition is written as several files, each still sorted).
+    ``split_by`` adds a unique tie-break to the range keys, so one hot
+    cluster-key value (say an account holding a third of all rows) is cut
+    across many tasks instead of landing in one; files stay sorted by the
+    cluster keys first.
     """
     out = df
     if cluster_by:
-        out = out.repartitionByRange(files_per_write, *cluster_by) if files_per_write else out.repartitionByRange(*cluster_by)
-        out = out.sortWithinPartitions(*cluster_by)
+        keys = [*cluster_by, *split_by]
+        out = out.repartitionByRange(files_per_write, *keys) if files_per_write else out.repartitionByRange(*keys)
+        out = out.sortWithinPartitions(*keys)
     writer = out.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
     for c in bloom_columns:
         writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
