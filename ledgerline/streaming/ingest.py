@@ -60,3 +60,32 @@ def ingest_available(spark: SparkSession, table: str, inbox: str, sink: str, che
     if q.exception() is not None:
         raise q.exception()
     return spark.read.parquet(sink)
+
+
+def start_pipes(
+    spark: SparkSession,
+    landing_root: str,
+    raw_root: str,
+    checkpoint_root: str,
+    tables: list[str] | None = None,
+    processing_time: str | None = None,
+    permissive: bool = False,
+) -> dict[str, StreamingQuery]:
+    """One continuous load per raw table: ``landing_root/<t>/*.csv`` -> ``raw_root/<t>`` (Parquet).
+
+    Each table has its own checkpoint under ``checkpoint_root`` (a shared folder on a
+    cluster), so every pipe restarts where it stopped and never loads a file twice.
+    With ``processing_time`` the pipes keep polling; without it they take what is
+    there (available-now) and stop.
+    """
+    from ledgerline.sources.schemas import RAW_TABLES
+
+    names = tables or list(RAW_TABLES)
+    return {
+        t: start_ingest(
+            spark, t, f"{landing_root.rstrip('/')}/{t}", f"{raw_root.rstrip('/')}/{t}",
+            f"{checkpoint_root.rstrip('/')}/{t}", available_now=processing_time is None,
+            processing_time=processing_time, permissive=permissive,
+        )
+        for t in names
+    }

@@ -50,3 +50,16 @@ def test_streaming_ingest_each_file_once(spark):
     out = ingest_available(spark, "pix_movements", inbox, sink, ckpt)
     assert sorted(r.id for r in out.collect()) == [1, 2, 3]
     assert out.where("_file_modified_at IS NULL").count() == 0
+
+
+def test_pipes_for_several_tables(spark):
+    from ledgerline.streaming.ingest import start_pipes
+
+    base = tempfile.mkdtemp(prefix="ll-pipes-")
+    landing, raw, ckpt = (os.path.join(base, p) for p in ("landing", "raw", "ckpt"))
+    _write(landing, "pix_movements", "a.csv", PIX_HEADER + "1,10,1.00,2020-01-01,2020-01-01,completed,pix_in\n")
+    _write(landing, "accounts", "a.csv", "account_id,account_name,created_at,status\n10,Ana,2019-05-01 00:00:00,active\n")
+    for q in start_pipes(spark, landing, raw, ckpt, tables=["pix_movements", "accounts"]).values():
+        q.awaitTermination()
+    assert spark.read.parquet(os.path.join(raw, "accounts")).first().account_name == "Ana"
+    assert spark.read.parquet(os.path.join(raw, "pix_movements")).count() == 1
