@@ -210,7 +210,8 @@ class RawTables:
                 .unionByName(self.driver("lineitem").select(F.col("l_shipdate").cast("date").alias("d")))
             )
             row = dates.agg(F.min("d").alias("lo"), F.max("d").alias("hi")).first()
-            self._cache["_bounds"] = (dt.date(row["lo"].year, 1, 1), dt.date(row["hi"].year, 12, 31))
+            lo, hi = (row["lo"], row["hi"]) if row["lo"] is not None else (dt.date.today(), dt.date.today())
+            self._cache["_bounds"] = (dt.date(lo.year, 1, 1), dt.date(hi.year, 12, 31))
         return self._cache["_bounds"]
 
     def calendar_days(self) -> DataFrame:
