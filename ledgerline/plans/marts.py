@@ -184,8 +184,16 @@ KPI_COLUMNS = [
 ]
 
 
-def monthly_kpis(balances: DataFrame) -> DataFrame:
-    """Per-month aggregates, in two levels instead of three COUNT(DISTINCT)s.
+def monthly_kpis(balances: DataFrame, unique_account_months: bool = False) -> DataFrame:
+    """Per-month aggregates without Spark's distinct-aggregate expansion.
+
+    ``unique_account_months=True`` (the model graph: the spine makes balances
+    unique per account and month, so an account appears at most once in each
+    month group): distinct counts equal conditional counts, and everything is
+    one aggregation with map-side partial aggregation. Its shuffle is about one row per
+    month per map task, whatever the input's partitioning.
+
+    Otherwise, for arbitrary input, two levels are used instead of three COUNT(DISTINCT)s:
 
     Level 1 groups by (account, month) - the grain the balances already have, so
     it reuses their partitioning - and keeps per-account flags and partial sums.
@@ -195,6 +203,25 @@ def monthly_kpis(balances: DataFrame) -> DataFrame:
     (the scale ``AVG`` of a decimal(22,6) has), then to 2 digits.
     """
     keys = [F.col("month_date").alias("report_month"), "year", "month"]
+    if unique_account_months:
+        has_id = F.col("account_id").isNotNull()
+        return balances.where(F.col("month_date").isNotNull()).groupBy(*keys).agg(
+            F.count("account_id").alias("total_active_accounts"),
+            F.count_if(has_id & F.col("has_activity")).alias("active_accounts"),
+            F.count_if(has_id & F.col("is_high_activity")).alias("high_activity_accounts"),
+            F.sum("inbound_volume").cast("decimal(38,2)").alias("total_inbound_volume"),
+            F.sum("outbound_volume").cast("decimal(38,2)").alias("total_outbound_volume"),
+            F.sum("net_flow").cast("decimal(38,2)").alias("total_net_flow"),
+            F.sum("total_transactions").alias("total_transactions"),
+            F.sum("pix_transactions").alias("total_pix_transactions"),
+            F.sum("transfer_transactions").alias("total_transfer_transactions"),
+            F.sum("avg_inbound_transaction_amount").alias("avg_in_sum"),
+            F.count("avg_inbound_transaction_amount").alias("avg_in_n"),
+            F.sum("avg_outbound_transaction_amount").alias("avg_out_sum"),
+            F.count("avg_outbound_transaction_amount").alias("avg_out_n"),
+            F.sum("pix_net_flow").cast("decimal(38,2)").alias("total_pix_flow"),
+            F.sum("transfer_net_flow").cast("decimal(38,2)").alias("total_transfer_flow"),
+        )
     per_account = (
         balances.where(F.col("month_date").isNotNull())
         .groupBy("account_id", *keys)
@@ -240,8 +267,8 @@ def _avg_of_avgs(total: Column, n: Column) -> Column:
     return F.when(n > 0, div_half_up(avg10, F.lit(1), 2, num_scale=10))
 
 
-def report_monthly_business_kpi(balances: DataFrame) -> DataFrame:
-    k = monthly_kpis(balances)
+def report_monthly_business_kpi(balances: DataFrame, unique_account_months: bool = False) -> DataFrame:
+    k = monthly_kpis(balances, unique_account_months)
     accounts, active = F.col("total_active_accounts"), F.col("active_accounts")
     tx, pix_tx = F.col("total_transactions"), F.col("total_pix_transactions")
     inbound, outbound = F.col("total_inbound_volume"), F.col("total_outbound_volume")

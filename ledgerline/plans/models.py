@@ -176,8 +176,13 @@ class BankModels:
 
     @property
     def report_monthly_business_kpi(self) -> DataFrame:
+        # The spine is unique per (account, month_date, year, month) by construction
+        # (distinct accounts, each expanding distinct months, joined to distinct
+        # calendar months), and the summary joins it to one aggregate row per key,
+        # so the balances keep that uniqueness: distinct counts are plain counts.
         return self._get(
-            "report_monthly_business_kpi", lambda: M.report_monthly_business_kpi(self.fct_account_monthly_balances)
+            "report_monthly_business_kpi",
+            lambda: M.report_monthly_business_kpi(self.fct_account_monthly_balances, unique_account_months=True),
         )
 
     @property

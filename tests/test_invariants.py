@@ -43,3 +43,15 @@ def test_segment_shares_sum_to_about_100(m):
     assert abs(total - Decimal(100)) <= Decimal("0.01") * m.report_customer_segmentation.count()
     counts = m.report_customer_segmentation.agg(F.sum("customers_count")).first()[0]
     assert counts == m.dim_customer.count()
+
+
+def test_kpi_one_pass_equals_two_level(m):
+    from ledgerline.plans import marts as M
+    from tests.compare import rows_digest
+
+    bal = m.fct_account_monthly_balances
+    one = M.report_monthly_business_kpi(bal, unique_account_months=True)
+    two = M.report_monthly_business_kpi(bal, unique_account_months=False)
+    cols = one.columns
+    assert [f.dataType for f in one.schema.fields] == [f.dataType for f in two.select(*cols).schema.fields]
+    assert rows_digest(cols, [tuple(r) for r in one.collect()]) == rows_digest(cols, [tuple(r) for r in two.select(*cols).collect()])
