@@ -62,30 +62,18 @@ def accepted_values_failures(df: DataFrame, model: str, column: str, values: Seq
     return _tag(bad, model, column)
 
 
-def without_parent(keys: DataFrame, key: str, parents: DataFrame) -> DataFrame:
-    """Rows of ``keys`` (one per key, already aggregated) whose key has no parent.
-
-    Written as a left join to the distinct parent keys plus ``IS NULL`` rather
-    than ``left_anti``: the optimizer pushes an anti join on the grouping key
-    below the aggregate, which would shuffle every raw child row; this form keeps
-    the join after the map-side reduction, and both sides arrive partitioned by
-    the key.
-    """
-    parent_keys = parents.select(F.col(key).alias("_parent_key")).where(F.col("_parent_key").isNotNull()).distinct()
-    joined = keys.join(parent_keys, keys[key] == parent_keys["_parent_key"], "left")
-    return joined.where(F.col("_parent_key").isNull()).drop("_parent_key")
-
-
 def relationship_summary(
     child: DataFrame, column: str, parent: DataFrame, parent_column: str, model: str, to_model: str
 ) -> DataFrame:
     """Child keys with no parent: rows and distinct keys.
 
-    The child is first reduced to (key, count) with partial aggregation, so the
-    anti join shuffles one row per key however skewed the child is.
+    The child is first reduced to (key, count) with partial aggregation, so when
+    the parent is large the anti join shuffles one row per key however skewed the
+    child is. (When the parent is small enough to broadcast, Catalyst moves the
+    anti join below the aggregation as a broadcast filter, which is cheaper still.)
     """
     keys = child.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("k")).agg(F.count(F.lit(1)).alias("n"))
-    orphans = without_parent(keys, "k", parent.select(F.col(parent_column).alias("k")))
+    orphans = keys.join(parent.select(F.col(parent_column).alias("k")), "k", "left_anti")
     summary = orphans.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("failing_rows"),
         F.count(F.lit(1)).alias("failing_keys"),
@@ -154,7 +142,7 @@ def orphan_transactions(stg_pix: DataFrame, stg_ins: DataFrame, stg_outs: DataFr
         stg_pix.select("account_id").unionByName(stg_ins.select("account_id")).unionByName(stg_outs.select("account_id"))
     )
     per_account = ids.groupBy("account_id").agg(F.count(F.lit(1)).alias("orphaned_transactions"))
-    return without_parent(per_account, "account_id", stg_accounts.select("account_id"))
+    return per_account.join(stg_accounts.select("account_id"), "account_id", "left_anti")
 
 
 def date_spine(start: Column, stop: Column, anchor: DataFrame) -> DataFrame:
