@@ -19,6 +19,12 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm.line_quality import clean_lines
+
+    return clean_lines(table(spark, sf_dir, "documents")).drop("cleaned")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.llm.packing import pack_documents
 
@@ -42,10 +48,23 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(), TOKEN_LIMIT)
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm.language_id import fold, identify_languages, learn_languages
+
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    model = learn_languages(docs, F.coalesce(~held_out, F.lit(True)))
+    return identify_languages(docs, model).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score", "hit_rate"
+    )
+
+
 QUERIES = {
+    "op4_quality_rules": op4_quality_rules,
     "op6_packing": op6_packing,
     "op8_token_files": op8_token_files,
     "op9_token_counts": op9_token_counts,
+    "op10_language_id": op10_language_id,
 }
 
 #: DuckDB SQL where SQL can express the query; the others are tested against brute force in tests/llm.
