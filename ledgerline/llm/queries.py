@@ -25,6 +25,22 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_lines(table(spark, sf_dir, "documents")).drop("cleaned")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm.language_id import fold
+    from ledgerline.llm.toxicity import learn_toxicity, score_toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False))
+    model = learn_toxicity(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return score_toxicity(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op7_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm.pivot_search import search
+
+    return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.llm.packing import pack_documents
 
@@ -61,11 +77,30 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_quality_rules": op4_quality_rules,
+    "op5_toxicity": op5_toxicity,
     "op6_packing": op6_packing,
+    "op7_pivot_search": op7_pivot_search,
     "op8_token_files": op8_token_files,
     "op9_token_counts": op9_token_counts,
     "op10_language_id": op10_language_id,
 }
 
 #: DuckDB SQL where SQL can express the query; the others are tested against brute force in tests/llm.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op7_pivot_search": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)
+        ), scored AS (
+            SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
+                   CAST(list_sum(list_transform(list_zip(a.q, b.q), z -> coalesce(z[1], 0) * coalesce(z[2], 0))) AS BIGINT) AS score
+            FROM v a JOIN v b ON a.vec_id <> b.vec_id
+            WHERE a.vec_id % 20 = 0
+        )
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+        FROM scored
+        QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
+    """,
+}
