@@ -7,8 +7,9 @@ whole text (tested against it), at a fraction of the time, as most pieces repeat
 texts, or for texts above ``piece_bytes`` pieces cut before a space that stands between two ASCII letters, a boundary
 that byte-level pre-tokenizers always cut at. sentencepiece models get whole texts.
 
-The pieces' ids are remembered per Python worker up to ``MAX_REMEMBERED`` pieces of at most ``MAX_PIECE`` bytes; then
-the memory is emptied and filled anew. So memory is bounded, and the result doesn't depend on it.
+The ids of the first ``MAX_REMEMBERED`` distinct pieces of at most ``MAX_PIECE`` bytes are remembered per Python worker
+(frequent ones come early); others are encoded in each batch that holds them. So memory is bounded, and the result
+doesn't depend on it.
 """
 
 from __future__ import annotations
@@ -19,8 +20,8 @@ import re
 from collections.abc import Iterator
 from struct import pack
 
-MAX_REMEMBERED = 250_000
-MAX_PIECE = 48
+MAX_REMEMBERED = 800_000
+MAX_PIECE = 32
 
 _LOADED: dict[tuple, object] = {}
 _LETTER_GAP = re.compile(rb"(?<=[A-Za-z]) (?=[A-Za-z])")
@@ -78,13 +79,13 @@ class Encoder:
         new = [w for w in distinct if w not in known]
         if not new:
             return known
-        if len(known) + len(new) > MAX_REMEMBERED:
-            known, new = {}, list(distinct)
         ids = self._batch([w.decode("utf-8", "replace") for w in new])
         found = {w: pack(f"<{len(i)}I", *i) for w, i in zip(new, ids, strict=True)}
-        known.update((w, b) for w, b in found.items() if len(w) <= MAX_PIECE)
-        self._known = known if len(known) <= MAX_REMEMBERED else {}
-        return known if all(len(w) <= MAX_PIECE for w in new) else known | found
+        if len(known) + len(new) <= MAX_REMEMBERED:
+            known.update((w, b) for w, b in found.items() if len(w) <= MAX_PIECE)
+            if max(map(len, new)) <= MAX_PIECE:
+                return known
+        return found | {w: known[w] for w in distinct if w in known}
 
     def _whole(self, text: bytes) -> list[bytes]:
         if self.cuts_long and len(text) > self.piece_bytes:
