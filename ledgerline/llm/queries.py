@@ -11,6 +11,8 @@ from ledgerline.session import scratch_path
 END_ID = 2
 WINDOW = 4096
 TOKEN_LIMIT = 2048
+MIX_WEIGHTS, MIX_EPOCHS, MIX_SHARDS = [1, 2, 3], 3, 16
+PROBE = "\\### Assistant: </turn> ok"
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -19,6 +21,41 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def conversations_and_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and conversation -7 whose texts look like control strings."""
+    from ledgerline.llm.chat_format import message_events
+
+    probe = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PROBE).alias("text")
+    )
+    return message_events(table(spark, sf_dir, "conversations")).unionByName(message_events(probe))
+
+
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm import chat_format as c
+
+    chats = c.format_chats(conversations_and_probe(spark, sf_dir))
+    turns = F.transform(c.read_turns(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    loss = c.read_loss_text(F.col("formatted"), F.col("loss_spans"))
+    read = chats.select("conv_id", turns.alias("turns"), loss.alias("loss"), F.length("formatted").cast("long").alias("formatted_chars"))
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join("turns", ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm import source_mix as m
+
+    sizes = m.sized(table(spark, sf_dir, "documents"))
+    goals = m.targets(sizes, MIX_WEIGHTS, MIX_EPOCHS)
+    return m.taken_words(sizes, goals, m.mix_sources(sizes, goals, MIX_SHARDS))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.llm.line_quality import clean_lines
 
@@ -76,6 +113,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_chat_format": op1_chat_format,
+    "op2_source_mix": op2_source_mix,
     "op4_quality_rules": op4_quality_rules,
     "op5_toxicity": op5_toxicity,
     "op6_packing": op6_packing,
@@ -87,6 +126,20 @@ QUERIES = {
 
 #: DuckDB SQL where SQL can express the query; the others are tested against brute force in tests/llm.
 ORACLE: dict[str, str] = {
+    "op1_chat_format": r"""
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+            UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text)) AS turns_sha256,
+               CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(23 + length(replace(replace(role, '\', '\\'), '<|', '<\|'))
+                           + length(replace(replace(text, '\', '\\'), '<|', '<\|'))) AS BIGINT) AS formatted_chars
+        FROM t GROUP BY conv_id
+    """,
     "op7_pivot_search": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
