@@ -56,6 +56,12 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.taken_words(sizes, goals, m.mix_sources(sizes, goals, MIX_SHARDS))
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm.near_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.llm.line_quality import clean_lines
 
@@ -115,6 +121,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_source_mix": op2_source_mix,
+    "op3_near_dedup": op3_near_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_toxicity": op5_toxicity,
     "op6_packing": op6_packing,
