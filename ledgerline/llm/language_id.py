@@ -16,6 +16,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -137,27 +138,38 @@ def identify_languages(docs: DataFrame, model: LanguageFilters, id_col: str = "d
     """
 
     def predict(batches: Iterator) -> Iterator:
-        import numpy as np
         import pyarrow as pa
 
         for b in batches:
-            lang, score, rate = [], [], []
-            for text in b.column(1):
-                text = text.as_py()
-                rates = model.hit_rates(text) if text and model.languages else None
-                if rates is None:
-                    lang.append(UNDETERMINED), score.append(0.0), rate.append(0.0)
-                    continue
-                best = int(np.argmax(rates))
-                rest = float(np.max(np.delete(rates, best), initial=0.0))
-                top = float(rates[best])
-                lang.append(model.languages[best]), score.append(top / (top + rest) if top > 0 else 0.0), rate.append(top)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rate, pa.float64())], [id_col, "lang_pred", "score", "hit_rate"])
+            found = [decide(model, text.as_py()) for text in b.column(1)]
+            cols = [pa.array([x[k] for x in found], t) for k, t in enumerate((pa.string(), pa.float64(), pa.float64()))]
+            yield pa.RecordBatch.from_arrays([b.column(0), *cols], [id_col, "lang_pred", "score", "hit_rate"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(predict, f"`{id_col}` {kind}, lang_pred string, score double, hit_rate double")
 
 
+def decide(model: LanguageFilters, text: str | None) -> tuple[str, float, float]:
+    """(language, score, hit rate) of one whole text."""
+    import numpy as np
+
+    rates = model.hit_rates(text) if text and model.languages else None
+    if rates is None:
+        return UNDETERMINED, 0.0, 0.0
+    best = int(np.argmax(rates))
+    top, rest = float(rates[best]), float(np.max(np.delete(rates, best), initial=0.0))
+    return model.languages[best], top / (top + rest) if top > 0 else 0.0, top
+
+
+def language(model: LanguageFilters):
+    """struct(lang_pred, score, hit_rate) as a column function of a text column, to filter a table in place."""
+    @F.pandas_udf("lang_pred string, score double, hit_rate double")
+    def predict(text: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([decide(model, t) for t in text], columns=["lang_pred", "score", "hit_rate"])
+
+    return predict
+
+
 def fold(id_col: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``."""
     return F.crc32(id_col.cast("string").cast("binary")) % folds

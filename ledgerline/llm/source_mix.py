@@ -29,10 +29,11 @@ def word_count(text: Column) -> Column:
     return F.size(F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")).cast("long")
 
 
-def sized(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """(row_id, doc_id, source, size), stored once: later steps read no text. ``row_id`` tells repeated rows apart."""
+def sized(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", row_id: Column | None = None) -> DataFrame:
+    """(row_id, doc_id, source, size), stored once: later steps read no text. ``row_id`` tells repeated rows apart; None:
+    rows are numbered as they're read."""
     rows = docs.select(
-        F.monotonically_increasing_id().alias("row_id"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")
+        (F.monotonically_increasing_id() if row_id is None else row_id).alias("row_id"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")
     )
     return stored(rows, "sizes")
 
@@ -184,3 +185,18 @@ def taken_words(sizes: DataFrame, goals: DataFrame, mix: DataFrame) -> DataFrame
     goal = goals.select(F.col("source").alias("goal_source"), "source_size", "target")
     rows = sizes.join(goal, F.col("source").eqNullSafe(F.col("goal_source"))).join(taken, "row_id", "left")
     return rows.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, weights: list[float], max_epochs: float = 3.0, shards: int = 16, seed: str = "mix") -> DataFrame:
+    """``docs`` (doc_id, source, text and any other columns) with every document as often as the mix draws it.
+
+    Documents are blocks of their own here, so each is drawn whole; a source exceeds its target by less than one
+    document. Rows equal in id and text count as one document: each is given out as often as that one. Documents
+    without words are never drawn.
+    """
+    key = F.xxhash64("doc_id", "text")
+    sizes = stored(sized(docs, row_id=key).dropDuplicates(["row_id"]), "documents_sized")
+    drawn = mix_sources(sizes, targets(sizes, weights, max_epochs), shards, 1 << 30, seed)
+    copies = drawn.groupBy("row_id").agg(F.count("*").cast("int").alias("copies")).select(F.col("row_id").alias("key__"), "copies")
+    met = docs.join(copies, key == F.col("key__"))
+    return met.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy__")).drop("copy__")

@@ -15,6 +15,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -149,3 +150,12 @@ def score_toxicity(docs: DataFrame, model: FactorizationMachine, id_col: str = "
     kind = docs.schema[id_col].dataType.simpleString()
     scored = docs.select(id_col, text_col).mapInArrow(score, f"`{id_col}` {kind}, score double")
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def toxicity(model: FactorizationMachine):
+    """The score as a column function of a text column, to filter a table in place."""
+    @F.pandas_udf("double")
+    def score(text: pd.Series) -> pd.Series:
+        return pd.Series(model.scores(text.tolist()))
+
+    return score
