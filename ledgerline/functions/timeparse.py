@@ -38,40 +38,58 @@ def ts_to_epoch(ts: Column) -> Column:
     return days * _DAY + F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
 
 
-# Magnitude limits for reading an integer as seconds / ms / us / ns (auto_scale=True).
-_SCALE_LIMITS = [(31536000000, 1), (31536000000000, 1000), (31536000000000000, 1000000)]
+# Magnitude limits below which an integer counts as seconds / ms / us; above: ns (auto_scale=True).
+_SCALE_LIMITS = [(31536000000, 10**6), (31536000000000, 10**3), (31536000000000000, 1)]
+# Epoch microseconds of 0001-01-01 and 9999-12-31 23:59:59.999999.
+_MICROS_MIN, _MICROS_MAX = -62135596800 * 10**6, 253402300800 * 10**6 - 1
 
 
-def _scaled_seconds(n: Column) -> Column:
-    """Integer epoch of unknown unit -> seconds, by magnitude (ms, us, ns above the limits)."""
-    mag = F.abs(n)
-    out = F.floor(n / F.lit(1000000000)).cast("bigint")
-    for limit, div in reversed(_SCALE_LIMITS):
-        out = F.when(mag < limit, n if div == 1 else F.floor(n / F.lit(div)).cast("bigint")).otherwise(out)
-    return out
+def _micros(n: Column, auto_scale: bool) -> Column:
+    """Epoch number (decimal(38,6)) -> whole microseconds; NULL outside the years 1 to 9999."""
+    if not auto_scale:
+        micros = F.when(F.abs(n) < 10**18, n * 10**6)
+    else:
+        mag = F.abs(n)
+        micros = F.when(mag < F.lit("1" + "0" * 22).cast("decimal(38,0)"), F.floor(n / 1000))
+        for limit, factor in reversed(_SCALE_LIMITS):
+            micros = F.when(mag < limit, F.floor(n * factor)).otherwise(micros)
+    micros = micros.try_cast("decimal(38,0)")
+    return F.when((micros >= F.lit(_MICROS_MIN)) & (micros <= F.lit(_MICROS_MAX)), micros)
+
+
+def _micros_to_ts(micros: Column) -> Column:
+    seconds = (micros.cast("decimal(20,0)") * F.lit("0.000001").cast("decimal(6,6)")).cast("decimal(18,6)")
+    return _epoch_ntz() + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+
+
+def _compact(text: Column) -> Column:
+    """``yyyyMMddHHmmss`` -> timestamp (NULL if it is none)."""
+    part = lambda at, n: F.substring(text, at, n)
+    iso = F.concat(part(1, 4), F.lit("-"), part(5, 2), F.lit("-"), part(7, 2), F.lit(" "), part(9, 2), F.lit(":"), part(11, 2), F.lit(":"), part(13, 2))
+    return F.when(text.rlike("^[0-9]{14}$"), iso.try_cast("timestamp_ntz"))
 
 
 def parse_ts(col: Column, dtype: T.DataType | None = None, auto_scale: bool = False) -> Column:
-    """``TO_TIMESTAMP`` of a string, epoch number or timestamp.
+    """``TO_TIMESTAMP`` of a string, epoch number or timestamp; never raises.
 
-    Strings holding an integer are epoch seconds (or, with ``auto_scale``, seconds /
-    milliseconds / microseconds / nanoseconds chosen by magnitude); other strings
-    are parsed as ISO date/time text; anything unparseable becomes NULL (never raises).
+    Strings holding a number are epoch seconds (fractions kept to microseconds); with ``auto_scale`` seconds,
+    milliseconds, microseconds or nanoseconds by magnitude, and 14 digits that are a valid ``yyyyMMddHHmmss`` are that.
+    Other strings are ISO date/time text. Anything else, and any time outside the years 1 to 9999, is NULL.
     """
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return col.cast("timestamp_ntz")
     if isinstance(dtype, (T.LongType, T.IntegerType, T.ShortType, T.DecimalType)):
-        n = col.cast("bigint")
-        return epoch_to_ts(_scaled_seconds(n) if auto_scale else n)
+        return _micros_to_ts(_micros(col.try_cast("decimal(38,6)"), auto_scale))
     text = F.trim(col.cast("string"))
-    as_epoch = text.try_cast("bigint")
-    seconds = _scaled_seconds(as_epoch) if auto_scale else as_epoch
-    return F.when(as_epoch.isNotNull(), epoch_to_ts(seconds)).otherwise(text.try_cast("timestamp_ntz"))
+    number = F.when(text.rlike(r"^[+-]?[0-9]{1,30}([.][0-9]*)?$"), text).try_cast("decimal(38,6)")
+    epoch = _micros_to_ts(_micros(number, auto_scale))
+    epoch = F.coalesce(_compact(text), epoch) if auto_scale else epoch
+    return F.when(number.isNotNull(), epoch).otherwise(text.try_cast("timestamp_ntz"))
 
 
-def parse_ts_of(df: DataFrame, name: str) -> Column:
+def parse_ts_of(df: DataFrame, name: str, auto_scale: bool = False) -> Column:
     """``parse_ts`` choosing the rule from the column's type in ``df``."""
-    return parse_ts(F.col(name), df.schema[name].dataType)
+    return parse_ts(F.col(name), df.schema[name].dataType, auto_scale)
 
 
 def null_marker(col: Column, marker: str = "None") -> Column:

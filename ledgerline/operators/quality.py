@@ -29,10 +29,6 @@ def _tag(df: DataFrame, model: str, column: str) -> DataFrame:
 
 # -- generic column tests ----------------------------------------------------------
 
-def not_null_failures(df: DataFrame, column: str) -> DataFrame:
-    return df.where(F.col(column).isNull())
-
-
 def not_null_summary(df: DataFrame, model: str, column: str) -> DataFrame:
     return _tag(df.agg(F.count_if(F.col(column).isNull()).alias("failures")), model, column)
 
@@ -81,6 +77,22 @@ def relationship_summary(
     return _tag(summary, model, column).select("model", "column_name", F.lit(to_model).alias("to_model"), "failing_rows", "failing_keys")
 
 
+def feed_relationship_summary(child: DataFrame, feed: str, column: str, parent: DataFrame, to_model: str, models: Sequence[str]) -> DataFrame:
+    """``relationship_summary`` of several feeds held in one table, with one pass over child and parent.
+
+    The child is reduced to (feed, key, count) before the anti join; ``models`` lists the feeds, also those without an
+    orphan.
+    """
+    keys = child.where(F.col(column).isNotNull()).groupBy(F.col(feed).alias("model"), F.col(column).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    orphans = keys.join(parent.select(F.col(column).alias("k")), "k", "left_anti")
+    sums = orphans.groupBy("model").agg(F.sum("n").alias("failing_rows"), F.count(F.lit(1)).alias("failing_keys"))
+    listed = child.sparkSession.createDataFrame([(m,) for m in models], "model string")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
+    return listed.join(sums, "model", "left").select(
+        "model", F.lit(column).alias("column_name"), F.lit(to_model).alias("to_model"), zero("failing_rows"), zero("failing_keys")
+    )
+
+
 def severity(failures: Column, warn_over: int, error_over: int) -> Column:
     return F.when(failures > error_over, "error").when(failures > warn_over, "warn").otherwise("pass")
 
@@ -94,8 +106,8 @@ def accepted_range_summary(
     warn_over: int = L.RANGE_WARN_OVER,
     error_over: int = L.RANGE_ERROR_OVER,
 ) -> DataFrame:
-    c = F.col(column)
-    agg = df.agg(F.count_if((c < F.lit(min_value)) | (c > F.lit(max_value))).alias("failures"))
+    c, low, high = F.col(column), F.lit(str(min_value)).cast("decimal(18,2)"), F.lit(str(max_value)).cast("decimal(18,2)")
+    agg = df.agg(F.count_if((c < low) | (c > high)).alias("failures"))
     return _tag(agg, model, column).select(
         "model", "column_name", "failures", severity(F.col("failures"), warn_over, error_over).alias("status")
     )
@@ -136,12 +148,9 @@ def duplicate_transactions(unified: DataFrame) -> DataFrame:
     )
 
 
-def orphan_transactions(stg_pix: DataFrame, stg_ins: DataFrame, stg_outs: DataFrame, stg_accounts: DataFrame) -> DataFrame:
+def orphan_transactions(transactions: DataFrame, stg_accounts: DataFrame) -> DataFrame:
     """Transactions per account id that has no account (NULL ids count too)."""
-    ids = (
-        stg_pix.select("account_id").unionByName(stg_ins.select("account_id")).unionByName(stg_outs.select("account_id"))
-    )
-    per_account = ids.groupBy("account_id").agg(F.count(F.lit(1)).alias("orphaned_transactions"))
+    per_account = transactions.groupBy("account_id").agg(F.count(F.lit(1)).alias("orphaned_transactions"))
     return per_account.join(stg_accounts.select("account_id"), "account_id", "left_anti")
 
 
@@ -178,8 +187,8 @@ def freshness(
 ) -> DataFrame:
     """Latest arrival per table vs. the class limit (4 h high, 1 day medium).
 
-    ``ingest_log`` has (table_name, seen_at) rows, e.g. file modification times.
-    A stale or missing high-frequency table is ``critical``; medium is ``warning``.
+    ``ingest_log`` has (table_name, seen_at) rows: times of the tables' own events, or file modification times.
+    Ages count from ``as_of``; None: now. A stale or missing high-frequency table is ``critical``; medium is ``warning``.
     """
     now = as_of if as_of is not None else F.current_timestamp()
     last = ingest_log.groupBy("table_name").agg(F.max("seen_at").alias("last_seen"))

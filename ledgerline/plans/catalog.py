@@ -1,9 +1,8 @@
 """Every registered query: ``(spark, sf_dir) -> DataFrame`` over the driver tables.
 
 Model queries are lazy. Source/sink queries (CSV scan, preview, listing,
-streaming ingest, materialization) first write the adapter's tables to a fresh
-folder below the shared checkpoint folder, then read them back the way the
-reference loads its files.
+streaming ingest) read the adapter's tables from CSV files, which are staged once
+per session below the shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -28,15 +27,6 @@ from ledgerline.streaming.ingest import ingest_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Driver files behind each raw table (what a freshness check would watch).
-SOURCE_FILES = {
-    "pix_movements": ["orders"], "transfer_ins": ["lineitem", "orders"], "transfer_outs": ["lineitem", "orders"],
-    "accounts": ["customer"], "customers": ["customer"], "city": ["nation"], "state": ["region"],
-    "d_time": ["orders", "lineitem"], "d_week": ["orders", "lineitem"], "d_month": ["orders", "lineitem"],
-    "d_year": ["orders", "lineitem"], "d_weekday": ["orders", "lineitem"],
-}
-
-
 def models(spark: SparkSession, sf_dir: str) -> BankModels:
     return BankModels(RawTables(spark, sf_dir))
 
@@ -50,12 +40,18 @@ def _model_query(attr: str, *args) -> Query:
     return run
 
 
-def _export_csv(spark: SparkSession, sf_dir: str, tables: list[str], files: int | None = None) -> str:
-    raw = RawTables(spark, sf_dir)
-    root = scratch_path(spark, "csv")
+_EXPORTED: dict[tuple[str, str, str], str] = {}
+
+
+def _export_csv(spark: SparkSession, sf_dir: str, tables: list[str]) -> str:
+    """The raw tables as CSV files, staged once per session, folder and table below the session's scratch folder."""
+    raw, session = RawTables(spark, sf_dir), spark.sparkContext.applicationId
+    if (session, sf_dir, "") not in _EXPORTED:
+        _EXPORTED[session, sf_dir, ""] = scratch_path(spark, "csv")
+    root = _EXPORTED[session, sf_dir, ""]
     for t in tables:
-        df = raw[t].repartition(files) if files else raw[t]
-        csv_scan.write_csv(df, t, root)
+        if (session, sf_dir, t) not in _EXPORTED:
+            _EXPORTED[session, sf_dir, t] = csv_scan.write_csv(raw[t], t, root)
     return root
 
 
@@ -85,21 +81,24 @@ def raw_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def list_input_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _export_csv(spark, sf_dir, list(RAW_TABLES))
-    return csv_scan.list_input_files(spark, root)
+    """The staged tables with the number of data lines in their listed files."""
+    return csv_scan.rows_per_table(spark, _export_csv(spark, sf_dir, list(RAW_TABLES)), list(RAW_TABLES))
 
 
-def stream_ingest_pix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inbox = _export_csv(spark, sf_dir, ["pix_movements"], files=4) + "/pix_movements"
-    sink = scratch_path(spark, "stream", "sink")
-    ckpt = scratch_path(spark, "stream", "checkpoint")
-    out = ingest_available(spark, "pix_movements", inbox, sink, ckpt)
-    return out.select(*[n for n, _ in RAW_TABLES["pix_movements"]])
+def _pipe_query(table: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        inbox = f"{_export_csv(spark, sf_dir, [table])}/{table}"
+        sink, ckpt = scratch_path(spark, "stream", "sink"), scratch_path(spark, "stream", "checkpoint")
+        out = ingest_available(spark, table, inbox, sink, ckpt)
+        return out.select(*[n for n, _ in RAW_TABLES[table]])
+
+    run.__name__ = f"stream_ingest_{table}"
+    return run
 
 
 def stream_unified_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three feeds streamed through staging and the union into one sink."""
-    root = _export_csv(spark, sf_dir, FEEDS, files=3)
+    root = _export_csv(spark, sf_dir, FEEDS)
     sink = scratch_path(spark, "stream", "unified")
     ckpt = scratch_path(spark, "stream", "unified-checkpoint")
     return unify_available(spark, root, sink, ckpt)
@@ -117,22 +116,9 @@ def date_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.date_spine_of_data(models(spark, sf_dir))
 
 
-def _ingest_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frames = []
-    for table, sources in SOURCE_FILES.items():
-        for src in sources:
-            files = csv_scan.list_input_files(spark, f"{sf_dir.rstrip('/')}/{src}.parquet", pattern="*")
-            frames.append(files.select(F.lit(table).alias("table_name"), F.col("modificationTime").alias("seen_at")))
-    return Q.union_all(frames)
-
-
-def dq_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.freshness(_ingest_log(spark, sf_dir), Q.table_categories(spark))
-
-
 def dq_validation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = models(spark, sf_dir)
-    return Q.validation_summary(dq_freshness(spark, sf_dir), C.non_empty_report(m, spark))
+    return Q.validation_summary(C.freshness_report(m), C.non_empty_report(m, spark))
 
 
 def _with_models(fn: Callable[[BankModels], DataFrame], name: str) -> Query:
@@ -151,7 +137,9 @@ for _t in RAW_TABLES:
 QUERIES["parse_null_marker"] = parse_null_marker
 QUERIES["list_input_files"] = list_input_files
 QUERIES["raw_preview"] = raw_preview
-QUERIES["stream_ingest_pix"] = stream_ingest_pix
+QUERIES["stream_ingest_pix"] = _pipe_query("pix_movements")
+QUERIES["stream_ingest_transfer_ins"] = _pipe_query("transfer_ins")
+QUERIES["stream_ingest_transfer_outs"] = _pipe_query("transfer_outs")
 QUERIES["stream_unified_transactions"] = stream_unified_transactions
 QUERIES["materialize_roundtrip"] = materialize_roundtrip
 
@@ -186,11 +174,11 @@ QUERIES["dq_expression"] = _with_models(C.expression_report, "dq_expression")
 QUERIES["dq_row_count"] = _with_models(C.row_count_report, "dq_row_count")
 QUERIES["dq_duplicate_transactions"] = _with_models(lambda m: Q.duplicate_transactions(m.int_unified_transactions), "dq_duplicate_transactions")
 QUERIES["dq_orphan_transactions"] = _with_models(
-    lambda m: Q.orphan_transactions(m.stg_pix_movements, m.stg_transfer_ins, m.stg_transfer_outs, m.stg_accounts),
+    lambda m: Q.orphan_transactions(m.int_unified_transactions, m.stg_accounts),
     "dq_orphan_transactions",
 )
 QUERIES["dq_missing_dates"] = _with_models(C.missing_dates_report, "dq_missing_dates")
 QUERIES["dq_calendar_unique_per_date"] = _with_models(lambda m: Q.calendar_unique_per_date(m.base_time_dimension), "dq_calendar_unique_per_date")
-QUERIES["dq_freshness"] = dq_freshness
+QUERIES["dq_freshness"] = _with_models(C.freshness_report, "dq_freshness")
 QUERIES["dq_non_empty"] = lambda spark, sf_dir: C.non_empty_report(models(spark, sf_dir), spark)
 QUERIES["dq_validation_summary"] = dq_validation_summary

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.functions.timeparse import parse_ts_of
 from ledgerline.operators import quality as Q
 from ledgerline.plans.models import BankModels
 from ledgerline.sources.schemas import TABLE_KEYS
@@ -72,8 +73,35 @@ def not_null_report(m: BankModels) -> DataFrame:
 
 
 def unique_report(m: BankModels) -> DataFrame:
+    """Repeated keys per binding. A raw table and the staged model of the same key share one scan and one grouping:
+    staging keeps the completed rows, so both counts come from one pass per key."""
+    staged_of = {"pix_movements": "stg_pix_movements", "transfer_ins": "stg_transfer_ins", "transfer_outs": "stg_transfer_outs"}
+    both = getattr(m.raw, "transfers", None)
+    frames, done = [], set()
+
+    def completed(c: str = "status"):
+        return F.coalesce(F.col(c) == "completed", F.lit(False))
+
+    def two(df: DataFrame, names) -> DataFrame:
+        """(model, column, failures) for the raw key and the staged key of each (raw, staged) pair in ``names``."""
+        keys = df.where(F.col("id").isNotNull()).groupBy("raw", "id").agg(F.count(F.lit(1)).alias("n"), F.count_if(completed()).alias("kept"))
+        sums = keys.groupBy("raw").agg(F.count_if(F.col("n") > 1).alias("r"), F.count_if(F.col("kept") > 1).alias("s"))
+        listed = df.sparkSession.createDataFrame([(r, s) for r, s in names], "raw string, staged string")
+        j = listed.join(sums, "raw", "left")
+        cell = lambda model, column, n: F.struct(
+            model.alias("model"), F.lit(column).alias("column_name"), F.coalesce(F.col(n), F.lit(0)).cast("bigint").alias("failures")
+        )
+        return j.select(F.inline(F.array(cell(F.col("raw"), "id", "r"), cell(F.col("staged"), "transaction_id", "s"))))
+
+    if both is not None:
+        feeds = both.select("id", "status", F.when(F.col("feed") == "in", "transfer_ins").otherwise("transfer_outs").alias("raw"))
+        frames.append(two(feeds, [(t, staged_of[t]) for t in ("transfer_ins", "transfer_outs")]))
+        done |= {"transfer_ins", "transfer_outs"}
+    for t in [t for t in staged_of if t not in done]:
+        frames.append(two(m.raw[t].select("id", "status", F.lit(t).alias("raw")), [(t, staged_of[t])]))
+    shared = set(staged_of) | set(staged_of.values())
     bindings = [(t, k) for t, k in TABLE_KEYS.items()] + [(t, c) for t, cs in STAGING_UNIQUE.items() for c in cs]
-    return Q.union_all(Q.unique_summary(_model(m, t), t, c) for t, c in bindings)
+    return Q.union_all(frames + [Q.unique_summary(_model(m, t), t, c) for t, c in bindings if t not in shared])
 
 
 def accepted_values_report(m: BankModels) -> DataFrame:
@@ -81,9 +109,11 @@ def accepted_values_report(m: BankModels) -> DataFrame:
 
 
 def relationships_report(m: BankModels) -> DataFrame:
-    return Q.union_all(
-        Q.relationship_summary(_model(m, t), c, _model(m, p), pc, t, p) for t, c, p, pc in RELATIONSHIPS
-    )
+    """Staged transactions whose account does not exist, per feed, in one pass over the unified transactions."""
+    feeds = {p: f"stg_{p}" for p in ("pix_movements", "transfer_ins", "transfer_outs")}
+    name = F.create_map(*[F.lit(x) for pair in feeds.items() for x in pair])[F.col("source_table")]
+    rows = m.int_unified_transactions.select("account_id", name.alias("feed"))
+    return Q.feed_relationship_summary(rows, "feed", "account_id", m.stg_accounts, "stg_accounts", [t for t, *_ in RELATIONSHIPS])
 
 
 def accepted_range_report(m: BankModels) -> DataFrame:
@@ -116,11 +146,27 @@ def date_spine_of_data(m: BankModels) -> DataFrame:
 
 
 def missing_dates_report(m: BankModels) -> DataFrame:
-    anchor = data_date_span(m).limit(1)
-    spine = Q.date_spine(F.lit(m.default_start), F.lit(m.as_of), anchor)
+    """Days of [default_start, as_of] that the calendar lacks; the calendar is all that is read."""
+    spine = Q.date_spine(F.lit(m.default_start), F.lit(m.as_of), m.base_time_dimension.sparkSession.range(1))
     return Q.missing_dates(spine, m.base_time_dimension, m.as_of)
 
 
+def event_log(m: BankModels) -> DataFrame:
+    """(table_name, seen_at): the latest event of each feed and of the accounts, from the tables' own rows."""
+    raw = {"pix_movements": "pix_requested_at", "transfer_ins": "transaction_requested_at", "transfer_outs": "transaction_requested_at", "accounts": "created_at"}
+    frames = []
+    for t, c in raw.items():
+        df = m.raw[t]
+        frames.append(df.agg(F.max(parse_ts_of(df, c)).alias("seen_at")).select(F.lit(t).alias("table_name"), "seen_at"))
+    return Q.union_all(frames)
+
+
+def freshness_report(m: BankModels) -> DataFrame:
+    """Freshness against the data's own clock, the latest event of all tables (one row per table)."""
+    cats = Q.table_categories(m.base_time_dimension.sparkSession)
+    return Q.freshness(event_log(m), cats, as_of=F.max("last_seen").over(Window.partitionBy()))
+
+
 def low_frequency_counts(m: BankModels) -> DataFrame:
     from ledgerline.functions.labels import TABLE_CLASSES
 

@@ -42,13 +42,12 @@ def _channel(df: DataFrame, channel: str) -> DataFrame:
     )
 
 
-def int_unified_transactions(stg_pix: DataFrame, stg_ins: DataFrame, stg_outs: DataFrame) -> DataFrame:
-    """PIX and both transfer feeds in one shape (UNION ALL, no dedup)."""
-    return (
-        _channel(stg_pix, "PIX")
-        .unionByName(_channel(stg_ins, "TRANSFER"))
-        .unionByName(_channel(stg_outs, "TRANSFER"))
-    )
+def int_unified_transactions(stg_pix: DataFrame, *stg_transfers: DataFrame) -> DataFrame:
+    """PIX and the transfer feeds (two tables, or both in one) in one shape (UNION ALL, no dedup)."""
+    out = _channel(stg_pix, "PIX")
+    for feed in stg_transfers:
+        out = out.unionByName(_channel(feed, "TRANSFER"))
+    return out
 
 
 def _size_class(amount: Column) -> Column:
@@ -133,21 +132,59 @@ def int_account_monthly_spine(
     expands only its own months (no accounts x months cross product); the month
     list is bounded by the calendar and broadcast behind a size check.
     """
-    accounts = stg_accounts.where(F.col("account_status") == "active").select("account_id").distinct()
-    ranges = account_date_range(unified)
-    months = sized_broadcast(
-        calendar.where(F.col("month_start_date").isNotNull())
-        .select(F.col("month_start_date").alias("month_date"), F.col("year_number").alias("year"), F.col("month_number").alias("month"))
-        .distinct(),
-        LOOKUP_MAX_ROWS,
-        decided=calendar_fits,
+    accounts = _spine_accounts(stg_accounts)
+    months = _calendar_months(calendar, calendar_fits)
+    per_account = accounts.join(account_date_range(unified), "account_id", "left").select(
+        "account_id", F.explode(_own_months(default_start, as_of)).alias("month_date")
+    )
+    return per_account.join(months, "month_date", "inner").select("account_id", "year", "month", "month_date")
+
+
+def _spine_accounts(stg_accounts: DataFrame) -> DataFrame:
+    return stg_accounts.where(F.col("account_status") == "active").select("account_id").distinct()
+
+
+def _calendar_months(calendar: DataFrame, calendar_fits: bool | None) -> DataFrame:
+    listed = calendar.where(F.col("month_start_date").isNotNull()).select(
+        F.col("month_start_date").alias("month_date"), F.col("year_number").alias("year"), F.col("month_number").alias("month")
     )
+    return sized_broadcast(listed.distinct(), LOOKUP_MAX_ROWS, decided=calendar_fits)
+
+
+def _own_months(default_start: dt.date, as_of: dt.date) -> Column:
+    """The months of an account's activity range, or of the default range without transactions."""
     lo = F.coalesce(F.trunc("first_transaction_date", "MM"), F.lit(default_start))
     hi = F.coalesce(F.trunc("last_transaction_date", "MM"), F.lit(as_of))
-    per_account = accounts.join(ranges, "account_id", "left").select(
-        "account_id", F.explode(month_sequence(lo, hi)).alias("month_date")
+    return month_sequence(lo, hi)
+
+
+def on_own_months(
+    stg_accounts: DataFrame,
+    calendar: DataFrame,
+    per_month: DataFrame,
+    as_of: dt.date,
+    default_start: dt.date = DEFAULT_START,
+    calendar_fits: bool | None = None,
+) -> DataFrame:
+    """The spine with each month's measures, from one pass over the facts.
+
+    ``per_month`` has account_id, month_date, first_day, last_day and measures, one row per account and month. The
+    account's date range comes from the same rows, and its months travel as one map (at most one entry per month) to the
+    account, where the spine's months look themselves up: the spine itself is never shuffled. Rows without a month only
+    widen the range.
+    """
+    measures = [c for c in per_month.columns if c not in ("account_id", "month_date", "first_day", "last_day")]
+    entry = F.struct("month_date", F.struct(*measures).alias("m"))
+    per_account = per_month.groupBy("account_id").agg(
+        F.min("first_day").alias("first_transaction_date"),
+        F.max("last_day").alias("last_transaction_date"),
+        F.map_from_entries(F.collect_list(F.when(F.col("month_date").isNotNull(), entry))).alias("months"),
     )
-    return per_account.join(months, "month_date", "inner").select("account_id", "year", "month", "month_date")
+    found = lambda d: F.struct(d.alias("month_date"), F.try_element_at(F.col("months"), d).alias("m"))
+    own = _spine_accounts(stg_accounts).join(per_account, "account_id", "left")
+    rows = own.select("account_id", F.inline(F.transform(_own_months(default_start, as_of), found)))
+    j = rows.join(_calendar_months(calendar, calendar_fits), "month_date", "inner")
+    return j.select("account_id", "year", "month", "month_date", *[F.col(f"m.{c}").alias(c) for c in measures])
 
 
 def _monthly_measures(direction_in: str, direction_out: str) -> list[Column]:
@@ -175,33 +212,81 @@ ZERO_FILLED = [
 ]
 
 
-def int_monthly_transaction_summary(spine: DataFrame, enriched: DataFrame) -> DataFrame:
-    """Per (account, month) measures on the spine, gaps filled with zeros.
+def _days() -> list[Column]:
+    day = F.to_date("transaction_completed_at")
+    return [F.min(day).alias("first_day"), F.max(day).alias("last_day")]
 
-    The month of a transaction is its truncated completion time (not the calendar's).
-    """
-    monthly = (
-        enriched.where(F.col("transaction_completed_at").isNotNull())
-        .withColumn("month_date", F.trunc("transaction_completed_at", "MM"))
+
+def monthly_measures(enriched: DataFrame) -> DataFrame:
+    """Measures and first / last day per (account, month of the completion time, not the calendar's)."""
+    done = enriched.where(F.col("transaction_completed_at").isNotNull())
+    return (
+        done.withColumn("month_date", F.trunc("transaction_completed_at", "MM"))
         .groupBy("account_id", "month_date")
-        .agg(*_monthly_measures(L.DIRECTION_IN, L.DIRECTION_OUT))
+        .agg(*_days(), *_monthly_measures(L.DIRECTION_IN, L.DIRECTION_OUT))
     )
-    j = spine.join(monthly, ["account_id", "month_date"], "left")
-    filled = [F.coalesce(F.col(c), F.lit(0)).cast(monthly.schema[c].dataType).alias(c) for c in ZERO_FILLED]
-    return j.select(
+
+
+def monthly_summary(on_spine: DataFrame) -> DataFrame:
+    """``int_monthly_transaction_summary`` from the spine with its measures: gaps become zeros."""
+    filled = [F.coalesce(F.col(c), F.lit(0)).cast(on_spine.schema[c].dataType).alias(c) for c in ZERO_FILLED]
+    return on_spine.select(
         "account_id", "year", "month", *filled,
         "avg_inbound_transaction_amount", "avg_outbound_transaction_amount", "month_date",
         F.coalesce(F.col("total_transactions") > 0, F.lit(False)).alias("has_activity"),
     )
 
 
+def int_monthly_transaction_summary(spine: DataFrame, enriched: DataFrame) -> DataFrame:
+    """Per (account, month) measures on a given spine, gaps filled with zeros."""
+    return monthly_summary(spine.join(monthly_measures(enriched).drop("first_day", "last_day"), ["account_id", "month_date"], "left"))
+
+
+SUMMARY_ZERO = [
+    "inbound_volume", "outbound_volume", "net_flow", "total_transactions", "inbound_transactions",
+    "outbound_transactions", "pix_net_flow", "transfer_net_flow", "pix_transactions", "transfer_transactions",
+    "micro_transactions", "small_transactions", "medium_transactions", "large_transactions",
+]
+
+
+def summary_measures(enriched: DataFrame, direction_in: str = L.DIRECTION_IN, direction_out: str = L.DIRECTION_OUT) -> DataFrame:
+    """Measures and first / last day per (account, calendar month); days missing in the calendar have no month."""
+    d, ch = F.col("transaction_direction"), F.col("transaction_channel")
+    amount, signed, size = F.col("transaction_amount"), F.col("signed_amount"), F.col("transaction_size_category")
+    return enriched.groupBy("account_id", F.col("completed_month_date").alias("month_date")).agg(
+        *_days(),
+        F.sum(F.when(d == direction_in, amount)).alias("inbound_volume"),
+        F.sum(F.when(d == direction_out, amount)).alias("outbound_volume"),
+        F.sum(signed).alias("net_flow"),
+        F.count("transaction_id").alias("total_transactions"),
+        F.count_if(d == direction_in).alias("inbound_transactions"),
+        F.count_if(d == direction_out).alias("outbound_transactions"),
+        F.sum(F.when(ch == "PIX", signed)).alias("pix_net_flow"),
+        F.sum(F.when(ch == "TRANSFER", signed)).alias("transfer_net_flow"),
+        F.count_if(ch == "PIX").alias("pix_transactions"),
+        F.count_if(ch == "TRANSFER").alias("transfer_transactions"),
+        *[F.count_if(size == k).alias(f"{k}_transactions") for k in ("micro", "small", "medium", "large")],
+        F.avg(F.when(d == direction_in, amount)).alias("avg_inbound_amount"),
+        F.avg(F.when(d == direction_out, amount)).alias("avg_outbound_amount"),
+    )
+
+
+def transactions_summary(on_spine: DataFrame) -> DataFrame:
+    """``int_transactions_summary`` from the spine with its measures."""
+    return on_spine.select(
+        "account_id", "month_date", "year", "month",
+        *[F.coalesce(F.col(c), F.lit(0)).cast(on_spine.schema[c].dataType).alias(c) for c in SUMMARY_ZERO],
+        "avg_inbound_amount", "avg_outbound_amount",
+    )
+
+
 def int_transactions_summary(
     spine: DataFrame,
     enriched: DataFrame,
     direction_in: str = L.DIRECTION_IN,
     direction_out: str = L.DIRECTION_OUT,
 ) -> DataFrame:
-    """Spine left-joined to transactions by the calendar's month, then aggregated.
+    """A given spine left-joined to transactions by the calendar's month, then aggregated.
 
     Written as aggregate-then-join: the spine is unique per (account, month,
     year, month number), so per-key partial sums joined once equal the
@@ -209,38 +294,6 @@ def int_transactions_summary(
     ``direction_in/out`` default to the staged labels; the reference compares
     with ``TRANSFER_IN`` / ``TRANSFER_out`` (pass those to reproduce it).
     """
-    d, ch = F.col("transaction_direction"), F.col("transaction_channel")
-    amount, signed, size = F.col("transaction_amount"), F.col("signed_amount"), F.col("transaction_size_category")
-    per_key = (
-        enriched.where(F.col("account_id").isNotNull() & F.col("completed_month_date").isNotNull())
-        .groupBy("account_id", F.col("completed_month_date").alias("month_date"))
-        .agg(
-            F.sum(F.when(d == direction_in, amount)).alias("inbound_volume"),
-            F.sum(F.when(d == direction_out, amount)).alias("outbound_volume"),
-            F.sum(signed).alias("net_flow"),
-            F.count("transaction_id").alias("total_transactions"),
-            F.count_if(d == direction_in).alias("inbound_transactions"),
-            F.count_if(d == direction_out).alias("outbound_transactions"),
-            F.sum(F.when(ch == "PIX", signed)).alias("pix_net_flow"),
-            F.sum(F.when(ch == "TRANSFER", signed)).alias("transfer_net_flow"),
-            F.count_if(ch == "PIX").alias("pix_transactions"),
-            F.count_if(ch == "TRANSFER").alias("transfer_transactions"),
-            F.count_if(size == "micro").alias("micro_transactions"),
-            F.count_if(size == "small").alias("small_transactions"),
-            F.count_if(size == "medium").alias("medium_transactions"),
-            F.count_if(size == "large").alias("large_transactions"),
-            F.avg(F.when(d == direction_in, amount)).alias("avg_inbound_amount"),
-            F.avg(F.when(d == direction_out, amount)).alias("avg_outbound_amount"),
-        )
-    )
-    j = spine.join(per_key, ["account_id", "month_date"], "left")
-    zero = [
-        "inbound_volume", "outbound_volume", "net_flow", "total_transactions", "inbound_transactions",
-        "outbound_transactions", "pix_net_flow", "transfer_net_flow", "pix_transactions", "transfer_transactions",
-        "micro_transactions", "small_transactions", "medium_transactions", "large_transactions",
-    ]
-    return j.select(
-        "account_id", "month_date", "year", "month",
-        *[F.coalesce(F.col(c), F.lit(0)).cast(per_key.schema[c].dataType).alias(c) for c in zero],
-        "avg_inbound_amount", "avg_outbound_amount",
-    )
+    keyed = F.col("account_id").isNotNull() & F.col("completed_month_date").isNotNull()
+    per_key = summary_measures(enriched.where(keyed), direction_in, direction_out).drop("first_day", "last_day")
+    return transactions_summary(spine.join(per_key, ["account_id", "month_date"], "left"))

@@ -31,8 +31,10 @@ class BankModels:
         raw: Mapping[str, DataFrame],
         as_of: dt.date = AS_OF,
         default_start: dt.date = DEFAULT_START,
+        auto_scale: bool = False,
     ):
         self.raw = raw
+        self.auto_scale = auto_scale
         self.as_of = as_of
         self.default_start = default_start
         self._overrides: dict[str, DataFrame] = {}
@@ -77,15 +79,15 @@ class BankModels:
 
     @property
     def stg_pix_movements(self) -> DataFrame:
-        return self._get("stg_pix_movements", lambda: S.stg_pix_movements(self.raw["pix_movements"]))
+        return self._get("stg_pix_movements", lambda: S.stg_pix_movements(self.raw["pix_movements"], self.auto_scale))
 
     @property
     def stg_transfer_ins(self) -> DataFrame:
-        return self._get("stg_transfer_ins", lambda: S.stg_transfer_ins(self.raw["transfer_ins"]))
+        return self._get("stg_transfer_ins", lambda: S.stg_transfer_ins(self.raw["transfer_ins"], self.auto_scale))
 
     @property
     def stg_transfer_outs(self) -> DataFrame:
-        return self._get("stg_transfer_outs", lambda: S.stg_transfer_outs(self.raw["transfer_outs"]))
+        return self._get("stg_transfer_outs", lambda: S.stg_transfer_outs(self.raw["transfer_outs"], self.auto_scale))
 
     @property
     def base_location_hierarchy(self) -> DataFrame:
@@ -110,9 +112,18 @@ class BankModels:
     # -- intermediate ---------------------------------------------------------------
     @property
     def int_unified_transactions(self) -> DataFrame:
-        return self._get(
-            "int_unified_transactions",
-            lambda: I.int_unified_transactions(self.stg_pix_movements, self.stg_transfer_ins, self.stg_transfer_outs),
+        return self._get("int_unified_transactions", lambda: I.int_unified_transactions(self.stg_pix_movements, *self._stg_transfers()))
+
+    def _stg_transfers(self) -> list[DataFrame]:
+        """The staged transfer feeds: in one pass where the source has both in one table, else one by one."""
+        both = getattr(self.raw, "transfers", None)
+        if both is not None and not {"stg_transfer_ins", "stg_transfer_outs"} & self._overrides.keys():
+            return [S.stg_both_transfers(both, self.auto_scale)]
+        return [self.stg_transfer_ins, self.stg_transfer_outs]
+
+    def _on_own_months(self, per_month: DataFrame) -> DataFrame:
+        return I.on_own_months(
+            self.stg_accounts, self.base_time_dimension, per_month, self.as_of, self.default_start, self.calendar_fits
         )
 
     @property
@@ -138,14 +149,14 @@ class BankModels:
     def int_monthly_transaction_summary(self) -> DataFrame:
         return self._get(
             "int_monthly_transaction_summary",
-            lambda: I.int_monthly_transaction_summary(self.int_account_monthly_spine, self.int_transactions_enriched),
+            lambda: I.monthly_summary(self._on_own_months(I.monthly_measures(self.int_transactions_enriched))),
         )
 
     def int_transactions_summary(self, literal: bool = False) -> DataFrame:
         labels = (L.SUMMARY_LITERAL_IN, L.SUMMARY_LITERAL_OUT) if literal else (L.DIRECTION_IN, L.DIRECTION_OUT)
         return self._get(
             f"int_transactions_summary{'_literal' if literal else ''}",
-            lambda: I.int_transactions_summary(self.int_account_monthly_spine, self.int_transactions_enriched, *labels),
+            lambda: I.transactions_summary(self._on_own_months(I.summary_measures(self.int_transactions_enriched, *labels))),
         )
 
     # -- marts ------------------------------------------------------------------------

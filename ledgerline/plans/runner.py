@@ -2,10 +2,9 @@
 
 Mirrors the reference's scheduled run: validate the sources (freshness of the
 feeds, non-empty lookups), then build every model as a full-rebuild table in
-dependency order, with the clustered layout each model declares. Models read
-by several others are written first and re-read from storage, which cuts the
-lineage (a lost executor recomputes from the last written table, not from the
-raw files) and stops the facts from being re-scanned per consumer.
+dependency order, with the clustered layout each model declares. Each written
+table is what later models read: lineage is cut (a lost executor recomputes from
+the last written table, not from the raw files) and nothing is built twice.
 """
 
 from __future__ import annotations
@@ -26,7 +25,7 @@ from ledgerline.sources.sink import materialize, with_metadata
 LAYOUT: dict[str, tuple[list[str], list[str]]] = {
     "base_time_dimension": (["utc_date"], []),
     "base_location_hierarchy": ([], []),
-    "int_unified_transactions": ([], []),
+    "int_unified_transactions": (["transaction_id"], ["transaction_type", "account_id"]),
     "int_transactions_enriched": (["account_id", "completed_date"], ["account_id"]),
     "int_account_monthly_spine": (["account_id", "month_date"], []),
     "int_monthly_transaction_summary": (["account_id", "month_date"], []),
@@ -45,9 +44,16 @@ SPLIT_BY: dict[str, list[str]] = {
     "int_transactions_enriched": ["transaction_id"],
     "fct_transactions": ["transaction_id"],
 }
-# Written first and re-read by downstream models.
-SHARED = ["base_time_dimension", "int_unified_transactions", "int_transactions_enriched", "int_account_monthly_spine"]
-# Marts carry a processing timestamp as well as the load timestamp.
+# Build order: a model comes after those it reads; each is read back from its table by the next.
+ORDER = [
+    "base_time_dimension", "int_unified_transactions", "int_transactions_enriched", "int_account_monthly_spine",
+    *[m for m in LAYOUT if m not in ("base_time_dimension", "int_unified_transactions", "int_transactions_enriched", "int_account_monthly_spine")],
+]
+# --- fixed values: audit columns per model. Load time of the run's staging; processing time of the model ---
+LOADED = {
+    "base_time_dimension", "int_account_monthly_spine", "int_monthly_transaction_summary", "dim_account",
+    "dim_calendar", "dim_customer", "fct_account_monthly_balances",
+}
 PROCESSED = {
     "dim_account", "dim_customer", "fct_transactions", "fct_account_monthly_balances",
     "report_monthly_business_kpi", "report_customer_segmentation",
@@ -74,10 +80,15 @@ def run(
     default_start: dt.date = DEFAULT_START,
     ingest_log: DataFrame | None = None,
     fail_on_critical: bool = True,
+    fail_on_error: bool = False,
+    auto_scale: bool = False,
 ) -> RunResult:
-    """Build every model into ``out_root/<model>`` and return paths and check frames."""
+    """Build every model into ``out_root/<model>`` and return paths and check frames.
+
+    ``fail_on_critical``: a stale high-frequency table stops the run before it writes. ``fail_on_error``: a data test
+    that reaches severity ``error`` raises after the tables are written; ``warn`` is only reported."""
     result = RunResult()
-    m = BankModels(raw, as_of=as_of, default_start=default_start)
+    m = BankModels(raw, as_of=as_of, default_start=default_start, auto_scale=auto_scale)
     cats = Q.table_categories(spark)
 
     # 1. gates: non-empty lookups always; freshness when an ingest log is given
@@ -91,28 +102,18 @@ def run(
         if fail_on_critical and summary.where("severity = 'critical'").limit(1).count() > 0:
             raise RuntimeError("critical validation failed: a high-frequency table is stale")
 
-    # 2. shared models: write, then read back so consumers start from storage
-    for name in SHARED:
+    # 2. every model once, in build order; consumers start from the written table, without its audit columns
+    loaded_at = dt.datetime.now()
+    for name in ORDER:
         cluster, bloom = LAYOUT[name]
         path = f"{out_root.rstrip('/')}/{name}"
-        df = _model_frame(m, name)
-        if name in ("base_time_dimension", "int_account_monthly_spine"):
-            df = with_metadata(df)
+        model = _model_frame(m, name)
+        df = with_metadata(model, loaded_at if name in LOADED else None, name in PROCESSED)
         table = materialize(df, path, cluster_by=cluster, bloom_columns=bloom, split_by=SPLIT_BY.get(name, []))
-        m.replace(name, table)
-        result.tables[name] = path
-
-    # 3. the remaining models, each a full-rebuild table with audit columns
-    for name in LAYOUT:
-        if name in SHARED:
-            continue
-        cluster, bloom = LAYOUT[name]
-        df = with_metadata(_model_frame(m, name), loaded=True, processed=name in PROCESSED)
-        path = f"{out_root.rstrip('/')}/{name}"
-        materialize(df, path, cluster_by=cluster, bloom_columns=bloom, split_by=SPLIT_BY.get(name, []))
+        m.replace(name, table.select(*model.columns))
         result.tables[name] = path
 
-    # 4. data tests over the built models (lazy; the caller decides what to run)
+    # 3. data tests; the singular ones read the written tables
     result.checks = {
         "not_null": C.not_null_report(m),
         "unique": C.unique_report(m),
@@ -122,24 +123,35 @@ def run(
         "expression": C.expression_report(m),
         "row_count": C.row_count_report(m),
         "duplicate_transactions": Q.duplicate_transactions(m.int_unified_transactions),
-        "orphan_transactions": Q.orphan_transactions(m.stg_pix_movements, m.stg_transfer_ins, m.stg_transfer_outs, m.stg_accounts),
+        "orphan_transactions": Q.orphan_transactions(m.int_unified_transactions, m.stg_accounts),
         "missing_dates": C.missing_dates_report(m),
         "calendar_unique_per_date": Q.calendar_unique_per_date(m.base_time_dimension),
     }
+    if fail_on_error:
+        errors = result.checks["accepted_range"].where("status = 'error'").select("model", "failures").collect()
+        if errors:  # at most one row per bound column
+            raise RuntimeError(f"data tests of severity error failed: {[tuple(r) for r in errors]}")
     return result
 
 
 def failing_checks(result: RunResult) -> DataFrame:
-    """One row per check with its failure count (drives an alert, like the DAG's summary)."""
+    """One row per check and severity with its failure count (drives an alert, like the DAG's summary)."""
     def count_of(name: str, df: DataFrame) -> DataFrame:
+        severity = F.col("status") if "status" in df.columns else F.lit("error")
         if "failures" in df.columns:
-            agg = df.agg(F.coalesce(F.sum("failures"), F.lit(0)).cast("bigint").alias("failures"))
+            n = F.sum("failures")
         elif "failing_rows" in df.columns:
-            agg = df.agg(F.coalesce(F.sum("failing_rows"), F.lit(0)).cast("bigint").alias("failures"))
+            n = F.sum("failing_rows")
         elif "error_type" in df.columns:
-            agg = df.agg(F.count_if(F.col("error_type").isNotNull()).alias("failures"))
+            n = F.count_if(F.col("error_type").isNotNull())
         else:
-            agg = df.agg(F.count(F.lit(1)).alias("failures"))
-        return agg.select(F.lit(name).alias("check"), "failures")
+            n = F.count(F.lit(1))
+        if "status" in df.columns:
+            return df.where(severity != "pass").groupBy(severity.alias("severity")).agg(n.cast("bigint").alias("failures")).select(
+                F.lit(name).alias("check"), "severity", "failures"
+            )
+        return df.agg(F.coalesce(n, F.lit(0)).cast("bigint").alias("failures")).select(
+            F.lit(name).alias("check"), severity.alias("severity"), "failures"
+        )
 
     return Q.union_all(count_of(n, df) for n, df in result.checks.items())

@@ -47,13 +47,13 @@ def _completion_parts(df: DataFrame) -> list[Column]:
     return [F.year(done).alias("completed_year"), F.month(done).alias("completed_month")]
 
 
-def stg_pix_movements(pix: DataFrame) -> DataFrame:
+def stg_pix_movements(pix: DataFrame, auto_scale: bool = False) -> DataFrame:
     parsed = pix.where(F.col("status") == "completed").select(
         F.col("id").alias("transaction_id"),
         "account_id",
         F.col("pix_amount").alias("transaction_amount"),
-        parse_ts_of(pix, "pix_requested_at").alias("transaction_requested_at"),
-        parse_ts_of(pix, "pix_completed_at").alias("transaction_completed_at"),
+        parse_ts_of(pix, "pix_requested_at", auto_scale).alias("transaction_requested_at"),
+        parse_ts_of(pix, "pix_completed_at", auto_scale).alias("transaction_completed_at"),
         "status",
         "in_or_out",
     )
@@ -68,7 +68,7 @@ def stg_pix_movements(pix: DataFrame) -> DataFrame:
     )
 
 
-def stg_transfers(transfers: DataFrame, direction: str, source_table: str) -> DataFrame:
+def stg_transfers(transfers: DataFrame, direction: Column, source_table: Column, auto_scale: bool = False) -> DataFrame:
     """Shared body of ``stg_transfer_ins`` / ``stg_transfer_outs``.
 
     Completion time is epoch-second text in the external-table load and a real
@@ -79,25 +79,34 @@ def stg_transfers(transfers: DataFrame, direction: str, source_table: str) -> Da
         F.col("id").alias("transaction_id"),
         "account_id",
         F.col("amount").alias("transaction_amount"),
-        parse_ts_of(transfers, "transaction_requested_at").alias("transaction_requested_at"),
-        parse_ts_of(transfers, "transaction_completed_at").alias("transaction_completed_at"),
+        parse_ts_of(transfers, "transaction_requested_at", auto_scale).alias("transaction_requested_at"),
+        parse_ts_of(transfers, "transaction_completed_at", auto_scale).alias("transaction_completed_at"),
         "status",
+        direction.alias("transaction_direction"),
+        source_table.alias("source_table"),
     )
     return parsed.select(
         "transaction_id", "account_id", "transaction_amount", "transaction_requested_at", "transaction_completed_at",
         *_completion_parts(parsed),
         F.lower(F.trim(F.col("status"))).alias("transaction_status"),
-        F.lit(direction).alias("transaction_direction"),
-        F.lit(source_table).alias("source_table"),
+        "transaction_direction",
+        "source_table",
     )
 
 
-def stg_transfer_ins(transfer_ins: DataFrame) -> DataFrame:
-    return stg_transfers(transfer_ins, L.DIRECTION_IN, "transfer_ins")
+def stg_transfer_ins(transfer_ins: DataFrame, auto_scale: bool = False) -> DataFrame:
+    return stg_transfers(transfer_ins, F.lit(L.DIRECTION_IN), F.lit("transfer_ins"), auto_scale)
 
 
-def stg_transfer_outs(transfer_outs: DataFrame) -> DataFrame:
-    return stg_transfers(transfer_outs, L.DIRECTION_OUT, "transfer_outs")
+def stg_transfer_outs(transfer_outs: DataFrame, auto_scale: bool = False) -> DataFrame:
+    return stg_transfers(transfer_outs, F.lit(L.DIRECTION_OUT), F.lit("transfer_outs"), auto_scale)
+
+
+def stg_both_transfers(transfers: DataFrame, auto_scale: bool = False) -> DataFrame:
+    """Both feeds staged from one table with a ``feed`` column: the union of the two models in one pass."""
+    is_in = F.col("feed") == "in"
+    direction = F.when(is_in, L.DIRECTION_IN).otherwise(L.DIRECTION_OUT)
+    return stg_transfers(transfers, direction, F.when(is_in, "transfer_ins").otherwise("transfer_outs"), auto_scale)
 
 
 def base_location_hierarchy(

@@ -6,10 +6,11 @@ every model downstream reads real, growing data:
 
 * accounts / customers  <- customer
 * pix_movements         <- orders
-* transfer_ins / _outs  <- lineitem join orders (returned 'A' / 'R' lines)
+* transfer_ins / _outs  <- lineitem join orders (every line goes to one of the two feeds)
 * city / state          <- nation / region
 * country               <- region (one country per region; names from a fixed list)
-* d_time and lookups    <- every day of the years spanned by order and ship dates
+* d_time and lookups    <- the days of the years spanned by order and ship dates; as in a raw feed a few days are
+  missing and a few carry two timestamps
 
 The modulo expressions only synthesise bank attributes (status, direction,
 missing values). Every driver row becomes a bank row: orphan transactions and
@@ -32,6 +33,9 @@ from ledgerline.sources.schemas import DECIMAL, conform
 COUNTRY_NAMES = ["Brazil", "Argentina", "Mexico", "Colombia", "Chile"]
 ACCOUNT_EPOCH = dt.date(1995, 1, 1)
 MALFORMED_TIME_ID = -1
+# Calendar days (by day number since 1970-01-01) that the feed misses, and days with a second, noon timestamp.
+MISSING_DAY = (97, 13)
+DOUBLE_DAY = (61, 7)
 # Id offsets that make a key match nothing on the other side.
 UNLISTED_ACCOUNT_OFFSET = 1_000_000_000_000     # accounts no transaction points at
 ORPHAN_ACCOUNT_OFFSET = 2_000_000_000_000       # transactions of accounts that do not exist
@@ -71,7 +75,7 @@ class RawTables:
             return None
         lo, hi = self.calendar_bounds()
         days = (hi - lo).days + 1
-        return {"d_time": days + 1, "d_week": 53, "d_month": 12, "d_year": hi.year - lo.year + 1, "d_weekday": 7}[table]
+        return {"d_time": days + 1 + -(-days // DOUBLE_DAY[0]), "d_week": 53, "d_month": 12, "d_year": hi.year - lo.year + 1, "d_weekday": 7}[table]
 
     def names(self) -> list[str]:
         return [
@@ -138,34 +142,40 @@ class RawTables:
         )
 
     # -- transfers <- lineitem join orders ---------------------------------------
-    def _transfers(self, return_flag: str) -> DataFrame:
-        # Large-large equi join on the order key: left to the planner (sort-merge,
-        # AQE may switch sides or split skew); both sides are filtered and pruned
-        # at the scan first.
-        li = (
-            self.driver("lineitem")
-            .where(F.col("l_returnflag") == return_flag)
-            .select("l_orderkey", "l_linenumber", "l_extendedprice", "l_linestatus", "l_shipdate")
-        )
-        o = self.driver("orders").select("o_orderkey", "o_custkey", "o_orderdate")
-        j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
-        shipped = F.col("l_linestatus") == "F"
-        return j.select(
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
-            _transaction_account(F.col("o_custkey")).alias("account_id"),
-            F.col("l_extendedprice").cast(DECIMAL).alias("amount"),
-            ts_to_epoch(F.col("o_orderdate")).cast("string").alias("transaction_requested_at"),
-            F.when(shipped, ts_to_epoch(F.col("l_shipdate")).cast("string"))
-            .otherwise("None")
-            .alias("transaction_completed_at"),
-            F.when(shipped, "completed").otherwise("pending").alias("status"),
-        )
+    @property
+    def transfers(self) -> DataFrame:
+        """Both transfer feeds in one pass: the raw columns plus ``feed`` ('in' / 'out').
+
+        Every line item is in exactly one feed: returned lines by their flag ('A' in, 'R' out), all others by the parity
+        of the line number. One large-large equi join on the order key, left to the planner (sort-merge; AQE may switch
+        sides or split skew); both sides are pruned at the scan first.
+        """
+        if "transfers" not in self._cache:
+            li = self.driver("lineitem").select(
+                "l_orderkey", "l_linenumber", "l_extendedprice", "l_linestatus", "l_shipdate", "l_returnflag"
+            )
+            o = self.driver("orders").select("o_orderkey", "o_custkey", "o_orderdate")
+            j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
+            shipped, flag = F.col("l_linestatus") == "F", F.col("l_returnflag")
+            by_parity = F.when(F.col("l_linenumber") % 2 == 0, "in").otherwise("out")
+            self._cache["transfers"] = j.select(
+                (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("bigint").alias("id"),
+                _transaction_account(F.col("o_custkey")).cast("bigint").alias("account_id"),
+                F.col("l_extendedprice").cast(DECIMAL).alias("amount"),
+                ts_to_epoch(F.col("o_orderdate")).cast("string").alias("transaction_requested_at"),
+                F.when(shipped, ts_to_epoch(F.col("l_shipdate")).cast("string"))
+                .otherwise("None")
+                .alias("transaction_completed_at"),
+                F.when(shipped, "completed").otherwise("pending").alias("status"),
+                F.when(flag == "A", "in").when(flag == "R", "out").otherwise(by_parity).alias("feed"),
+            )
+        return self._cache["transfers"]
 
     def _build_transfer_ins(self) -> DataFrame:
-        return self._transfers("A")
+        return self.transfers.where("feed = 'in'").drop("feed")
 
     def _build_transfer_outs(self) -> DataFrame:
-        return self._transfers("R")
+        return self.transfers.where("feed = 'out'").drop("feed")
 
     # -- location <- nation / region / fixed country list -------------------------
     def _build_city(self) -> DataFrame:
@@ -220,11 +230,13 @@ class RawTables:
         return self.spark.range(1).select(F.explode(day_sequence(F.lit(lo), F.lit(hi))).alias("d"))
 
     def _build_d_time(self) -> DataFrame:
-        days = self.calendar_days()
-        d = F.col("d")
+        d, number = F.col("d"), F.unix_date("d")
+        day_id = (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("bigint")
+        hours = F.when(number % DOUBLE_DAY[0] == DOUBLE_DAY[1], F.array(F.lit(0), F.lit(12))).otherwise(F.array(F.lit(0)))
+        days = self.calendar_days().where(number % MISSING_DAY[0] != MISSING_DAY[1]).select("d", F.explode(hours).alias("hour"))
         good = days.select(
-            (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("bigint").alias("time_id"),
-            F.concat(d.cast("string"), F.lit(" 00:00:00")).alias("action_timestamp"),
+            F.when(F.col("hour") == 0, day_id).otherwise(day_id * 100 + F.col("hour")).alias("time_id"),
+            F.concat(d.cast("string"), F.format_string(" %02d:00:00", "hour")).alias("action_timestamp"),
             F.weekofyear(d).alias("week_id"),
             F.month(d).alias("month_id"),
             F.year(d).alias("year_id"),

@@ -10,27 +10,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.sources.schemas import RAW_TABLES, raw_string_schema, typed_projection
+from ledgerline.sources.schemas import RAW_TABLES, REJECT, csv_options, raw_string_schema, typed_projection
 
 
-def _reader(spark: SparkSession, table: str):
-    return (
-        spark.read.schema(raw_string_schema(table))
-        .option("header", True)
-        .option("pathGlobFilter", "*.csv")
-        .option("recursiveFileLookup", True)
-        .option("mode", "FAILFAST")
-    )
+def read_raw_strings(spark: SparkSession, root: str, table: str, permissive: bool = False) -> DataFrame:
+    """The positional string columns as they sit in the files; permissive: malformed lines in ``REJECT``."""
+    reader = spark.read.schema(raw_string_schema(table, permissive)).options(**csv_options(permissive))
+    return reader.csv(f"{root.rstrip('/')}/{table}")
 
 
-def read_raw_strings(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """The positional string columns as they sit in the files."""
-    return _reader(spark, table).csv(f"{root.rstrip('/')}/{table}")
+def scan_table(spark: SparkSession, root: str, table: str, permissive: bool = False) -> DataFrame:
+    """Typed external-table scan of one table: strict casts and lines, or, ``permissive``, NULL for malformed numbers
+    and without malformed lines (see ``rejected_lines``)."""
+    rows = read_raw_strings(spark, root, table, permissive)
+    return typed_projection(rows.where(F.col(REJECT).isNull()) if permissive else rows, table, permissive)
 
 
-def scan_table(spark: SparkSession, root: str, table: str, permissive: bool = False) -> DataFrame:
-    """Typed external-table scan of one table (strict casts unless ``permissive``)."""
-    return typed_projection(read_raw_strings(spark, root, table), table, permissive)
+def rejected_lines(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """The malformed lines a permissive scan sets aside, with their first field and file."""
+    rows = read_raw_strings(spark, root, table, True).select("*", F.col("_metadata.file_path").alias("_source_file"))
+    return rows.where(F.col(REJECT).isNotNull()).select(RAW_TABLES[table][0][0], REJECT, "_source_file")
 
 
 def scan_all(spark: SparkSession, root: str, permissive: bool = False) -> dict[str, DataFrame]:
@@ -59,6 +58,15 @@ def list_input_files(spark: SparkSession, root: str, pattern: str = "*.csv") ->
     )
 
 
+def rows_per_table(spark: SparkSession, root: str, tables: list[str]) -> DataFrame:
+    """Data lines (without headers) of the listed files below ``root/<table>/``, per table."""
+    where = [f"{root.rstrip('/')}/{t}" for t in tables]
+    lines = spark.read.option("pathGlobFilter", "*.csv").text(where).select(F.col("_metadata.file_path").alias("path"))
+    per_file = lines.groupBy("path").agg(F.count(F.lit(1)).alias("n"))
+    table = F.regexp_extract("path", "/([^/]+)/[^/]+$", 1).alias("table_name")
+    return per_file.groupBy(table).agg(F.sum(F.col("n") - 1).alias("n_rows"))
+
+
 def to_csv_strings(df: DataFrame, table: str) -> DataFrame:
     """Typed raw table -> the string layout the files hold (``None`` marks a missing time)."""
     cols = []

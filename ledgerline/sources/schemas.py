@@ -15,7 +15,7 @@ from ledgerline.functions.timeparse import null_marker, parse_ts
 
 DECIMAL = "decimal(18,2)"
 
-# Column order is the CSV position order.
+# --- fixed values: the raw tables' columns and types, in CSV position order ---
 RAW_TABLES: dict[str, list[tuple[str, str]]] = {
     "pix_movements": [
         ("id", "bigint"), ("account_id", "bigint"), ("pix_amount", DECIMAL),
@@ -52,6 +52,11 @@ RAW_TABLES: dict[str, list[tuple[str, str]]] = {
     "d_weekday": [("weekday_id", "int"), ("action_weekday", "string")],
 }
 
+# Columns that the pipe load types as timestamps, though the external tables keep their text.
+PIPE_TIMES = {"transaction_requested_at", "transaction_completed_at"}
+# Where a malformed line's text goes in permissive reads.
+REJECT = "_rejected_line"
+
 # Declared key of each table (not_null + unique in the source tests).
 TABLE_KEYS = {
     "accounts": "account_id", "pix_movements": "id", "city": "city_id", "country": "country_id",
@@ -71,9 +76,18 @@ def _spark_type(kind: str) -> str:
     return {"ts": "timestamp_ntz", "ts_marker": "timestamp_ntz"}.get(kind, kind)
 
 
-def raw_string_schema(table: str) -> T.StructType:
-    """All-string schema in CSV position order (what the files physically hold)."""
-    return T.StructType([T.StructField(name, T.StringType(), True) for name, _ in RAW_TABLES[table]])
+def raw_string_schema(table: str, permissive: bool = False) -> T.StructType:
+    """All-string schema in CSV position order (what the files physically hold); permissive: and ``REJECT``."""
+    names = [name for name, _ in RAW_TABLES[table]] + [REJECT] * permissive
+    return T.StructType([T.StructField(name, T.StringType(), True) for name in names])
+
+
+def csv_options(permissive: bool) -> dict[str, str]:
+    """One policy for lines with too few or too many fields, in batch scans and streams: strict reads fail, permissive
+    reads set the whole line aside in ``REJECT``."""
+    mode = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECT} if permissive else {"mode": "FAILFAST"}
+    # without column pruning, so that a line is judged as a whole whatever columns a query picks
+    return {"header": "true", "pathGlobFilter": "*.csv", "recursiveFileLookup": "true", "columnPruning": "false", **mode}
 
 
 def typed_schema(table: str) -> T.StructType:
@@ -92,9 +106,10 @@ def _typed_column(name: str, kind: str, permissive: bool) -> Column:
     return (col.try_cast(target) if permissive else col.cast(target)).alias(name)
 
 
-def typed_columns(table: str, permissive: bool = False) -> list[Column]:
-    """The declared columns of ``table`` cast from their string form, in order."""
-    return [_typed_column(n, k, permissive) for n, k in RAW_TABLES[table]]
+def typed_columns(table: str, permissive: bool = False, pipe: bool = False) -> list[Column]:
+    """The declared columns of ``table`` cast from their string form, in order; ``pipe``: with the pipe load's types."""
+    kinds = [(n, "ts_marker" if pipe and n in PIPE_TIMES else k) for n, k in RAW_TABLES[table]]
+    return [_typed_column(n, k, permissive) for n, k in kinds]
 
 
 def typed_projection(strings: DataFrame, table: str, permissive: bool = False) -> DataFrame:

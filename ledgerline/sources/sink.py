@@ -10,22 +10,21 @@ recomputing from the sources.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.session import scratch_path
 
-
-def with_metadata(df: DataFrame, loaded: bool = True, processed: bool = False) -> DataFrame:
-    """Append the ``_loaded_at`` / ``_processed_at`` audit columns."""
-    now = F.current_timestamp()
+def with_metadata(df: DataFrame, loaded_at: dt.datetime | None = None, processed: bool = False) -> DataFrame:
+    """Append the audit columns: ``_loaded_at`` (the given load time) and ``_processed_at`` (now)."""
     cols = [F.col(c) for c in df.columns]
-    if loaded and "_loaded_at" not in df.columns:
-        cols.append(now.alias("_loaded_at"))
+    if loaded_at is not None:
+        cols.append(F.lit(loaded_at).cast("timestamp").alias("_loaded_at"))
     if processed:
-        cols.append(now.alias("_processed_at"))
+        cols.append(F.current_timestamp().alias("_processed_at"))
     return df.select(*cols)
 
 
@@ -39,7 +38,10 @@ def materialize(
     files_per_write: int | None = None,
     max_records_per_file: int = 5_000_000,
 ) -> DataFrame:
-    """Overwrite ``path`` with ``df`` and return the table read back.
+    """Replace the table at ``path`` by ``df`` and return it read back.
+
+    The new files are written beside the old table, which is swapped for them only when they are complete: a failed
+    write leaves the old table as it was.
 
     ``max_records_per_file`` bounds file size whatever the partition sizes are
     (a large range partition is written as several files, each still sorted).
@@ -53,15 +55,28 @@ def materialize(
         keys = [*cluster_by, *split_by]
         out = out.repartitionByRange(files_per_write, *keys) if files_per_write else out.repartitionByRange(*keys)
         out = out.sortWithinPartitions(*keys)
-    writer = out.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
+    writer = out.write.option("maxRecordsPerFile", max_records_per_file)
     for c in bloom_columns:
         writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    spark = df.sparkSession
+    new = f"{path.rstrip('/')}__new_{uuid.uuid4().hex}"
+    writer.parquet(new)
+    _swap(spark, new, path)
+    return spark.read.parquet(path)
 
 
-def checkpoint_table(spark: SparkSession, df: DataFrame, name: str, cluster_by: Sequence[str] = ()) -> DataFrame:
-    """Write ``df`` below the shared checkpoint folder and read it back (reliable lineage cut)."""
-    return materialize(df, scratch_path(spark, "tables", name), cluster_by=cluster_by)
+def _swap(spark: SparkSession, new: str, path: str) -> None:
+    """Move ``new`` to ``path``; the table that was there goes last."""
+    jvm = spark._jvm
+    target, source = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(new)
+    old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}__old_{uuid.uuid4().hex}")
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
+        raise OSError(f"can't move {path} aside")
+    if not fs.rename(source, target):
+        raise OSError(f"can't move {new} to {path}")
+    if had:
+        fs.delete(old, True)

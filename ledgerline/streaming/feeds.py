@@ -9,10 +9,12 @@ once, and the unified table grows by exactly the rows of the new files.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.plans import intermediate as I
 from ledgerline.plans import staging as S
+from ledgerline.sources.schemas import REJECT
 from ledgerline.streaming.ingest import stream_source, typed_stream
 
 FEEDS = ["pix_movements", "transfer_ins", "transfer_outs"]
@@ -21,7 +23,9 @@ FEEDS = ["pix_movements", "transfer_ins", "transfer_outs"]
 def unified_stream(spark: SparkSession, inbox_root: str, permissive: bool = False) -> DataFrame:
     """Streaming ``int_unified_transactions`` over ``inbox_root/<feed>/*.csv``."""
     root = inbox_root.rstrip("/")
-    typed = {f: typed_stream(stream_source(spark, f"{root}/{f}", f), f, permissive) for f in FEEDS}
+    typed = {f: typed_stream(stream_source(spark, f"{root}/{f}", f, permissive), f, permissive) for f in FEEDS}
+    if permissive:
+        typed = {f: df.where(F.col(REJECT).isNull()) for f, df in typed.items()}
     return I.int_unified_transactions(
         S.stg_pix_movements(typed["pix_movements"]),
         S.stg_transfer_ins(typed["transfer_ins"]),

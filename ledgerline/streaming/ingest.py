@@ -12,25 +12,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerline.sources.schemas import raw_string_schema, typed_columns
+from ledgerline.sources.schemas import REJECT, csv_options, raw_string_schema, typed_columns
 
 
-def stream_source(spark: SparkSession, inbox: str, table: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = (
-        spark.readStream.schema(raw_string_schema(table))
-        .option("header", True)
-        .option("pathGlobFilter", "*.csv")
-        .option("recursiveFileLookup", True)
-    )
+def stream_source(
+    spark: SparkSession, inbox: str, table: str, permissive: bool = False, max_files_per_trigger: int | None = None
+) -> DataFrame:
+    """The table's arriving files as strings, with the batch scan's policy for malformed lines."""
+    reader = spark.readStream.schema(raw_string_schema(table, permissive)).options(**csv_options(permissive))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.csv(inbox)
 
 
 def typed_stream(raw: DataFrame, table: str, permissive: bool = False) -> DataFrame:
-    """Typed columns (same casts as the batch scan) plus the source file and its time."""
+    """Typed columns (the pipe load's types) plus the source file and its time; permissive: malformed lines stay, with
+    their text in ``REJECT``."""
     return raw.select(
-        *typed_columns(table, permissive),
+        *typed_columns(table, permissive, pipe=True),
+        *([F.col(REJECT)] if permissive else []),
         F.col("_metadata.file_path").alias("_source_file"),
         F.col("_metadata.file_modification_time").alias("_file_modified_at"),
     )
@@ -45,21 +45,33 @@ def start_ingest(
     available_now: bool = True,
     processing_time: str | None = None,
     permissive: bool = False,
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start the pipe for ``table``: ``inbox`` CSV files -> Parquet at ``sink``."""
-    typed = typed_stream(stream_source(spark, inbox, table), table, permissive)
+    typed = typed_stream(stream_source(spark, inbox, table, permissive, max_files_per_trigger), table, permissive)
     writer = typed.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=available_now)
     return writer.start()
 
 
-def ingest_available(spark: SparkSession, table: str, inbox: str, sink: str, checkpoint: str, permissive: bool = False) -> DataFrame:
-    """Take every file not yet loaded, wait for it, return the sink table."""
-    q = start_ingest(spark, table, inbox, sink, checkpoint, available_now=True, permissive=permissive)
+def ingest_available(
+    spark: SparkSession, table: str, inbox: str, sink: str, checkpoint: str, permissive: bool = False,
+    max_files_per_trigger: int | None = None,
+) -> DataFrame:
+    """Take every file not yet loaded, wait for it, return the sink's well-formed rows."""
+    q = start_ingest(
+        spark, table, inbox, sink, checkpoint, permissive=permissive, max_files_per_trigger=max_files_per_trigger
+    )
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return spark.read.parquet(sink)
+    loaded = spark.read.parquet(sink)
+    return loaded.where(F.col(REJECT).isNull()).drop(REJECT) if permissive else loaded
+
+
+def rejected(spark: SparkSession, sink: str) -> DataFrame:
+    """The malformed lines a permissive pipe set aside, with their file."""
+    return spark.read.parquet(sink).where(F.col(REJECT).isNotNull()).select(REJECT, "_source_file")
 
 
 def start_pipes(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from oracle.sql import AS_OF, DEFAULT_START, build, model, parse_ts
 
+# --- fixed values: raw tables, keys and test bindings ---
 RAW = [
     "pix_movements", "transfer_ins", "transfer_outs", "accounts", "customers", "city", "state", "country",
     "d_time", "d_week", "d_month", "d_year", "d_weekday",
@@ -159,6 +160,12 @@ for _t in RAW:
 ORACLE["parse_null_marker"] = _parse_null_marker()
 ORACLE["raw_preview"] = _raw_preview()
 ORACLE["stream_ingest_pix"] = model("pix_movements")
+for _t in ("transfer_ins", "transfer_outs"):
+    _asked, _done = (parse_ts(f"NULLIF({c}, 'None')") for c in ("transaction_requested_at", "transaction_completed_at"))
+    ORACLE[f"stream_ingest_{_t}"] = build(
+        f"SELECT id, account_id, amount, {_asked} AS transaction_requested_at, {_done} AS transaction_completed_at, status FROM {_t}"
+    )
+ORACLE["list_input_files"] = build(_union([f"SELECT '{t}' AS table_name, CAST(COUNT(*) AS BIGINT) AS n_rows FROM {t}" for t in RAW]))
 ORACLE["stream_unified_transactions"] = model("int_unified_transactions")
 ORACLE["materialize_roundtrip"] = model("fct_account_monthly_balances")
 for _m in [
@@ -192,3 +199,26 @@ ORACLE["dq_calendar_unique_per_date"] = build(
     "SELECT utc_date, COUNT(*) AS rows_per_date FROM base_time_dimension GROUP BY utc_date HAVING COUNT(*) > 1"
 )
 ORACLE["dq_non_empty"] = _non_empty()
+
+
+# --- fixed values: freshness classes and limits in hours ---
+FRESH = [("pix_movements", "high_frequency", 4), ("transfer_ins", "high_frequency", 4), ("transfer_outs", "high_frequency", 4),
+         ("accounts", "medium_frequency", 24), ("customers", "medium_frequency", 24)]
+_SEEN = {"pix_movements": "pix_requested_at", "transfer_ins": parse_ts("transaction_requested_at"),
+         "transfer_outs": parse_ts("transaction_requested_at"), "accounts": "created_at", "customers": "CAST(NULL AS TIMESTAMP)"}
+_EACH = _union([
+    f"SELECT '{t}' AS table_name, '{c}' AS category, (SELECT max({_SEEN[t]}) FROM {t}) AS last_seen, CAST({h} AS INTEGER) AS limit_hours" for t, c, h in FRESH
+])
+_FRESH = f"SELECT *, coalesce(max(last_seen) OVER () - last_seen < limit_hours * INTERVAL 1 HOUR, FALSE) AS is_fresh FROM ({_EACH})"
+_FRESH = f"SELECT *, if(is_fresh, 'ok', if(category = 'high_frequency', 'critical', 'warning')) AS severity FROM ({_FRESH})"
+ORACLE["dq_freshness"] = build(_FRESH)
+_LOOKUPS = _union([f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}" for t in ["city", "country", "state", "d_time", "d_month", "d_week", "d_weekday", "d_year"]])
+ORACLE["dq_validation_summary"] = build(f"""
+SELECT category, count(*) AS checked_count, count(*) FILTER (good) AS passed_count, count(*) FILTER (NOT good) AS missing_count,
+       coalesce(string_agg(table_name, ',' ORDER BY table_name) FILTER (NOT good), '') AS missing_tables,
+       if(bool_or(severity = 'critical'), 'critical', if(bool_and(good), 'ok', 'warning')) AS severity,
+       bool_or(bool_or(severity = 'critical')) OVER () AS pipeline_fails
+FROM (SELECT category, table_name, is_fresh AS good, severity FROM ({_FRESH})
+      UNION ALL
+      SELECT 'low_frequency', table_name, n > 0, if(n > 0, 'ok', 'warning') FROM ({_LOOKUPS}))
+GROUP BY category""")

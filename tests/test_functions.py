@@ -3,6 +3,7 @@ import random
 from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.functions.decimals import div_half_up
 from ledgerline.functions.timeparse import month_sequence, parse_ts
@@ -75,4 +76,25 @@ def test_epoch_conversions_ignore_session_time_zone(spark):
 def test_parse_ts_auto_scale(spark):
     df = spark.createDataFrame([("946684800",), ("946684800123",), ("946684800123456",), ("946684800123456789",)], "s string")
     got = [r.t for r in df.select(parse_ts(F.col("s"), auto_scale=True).alias("t")).collect()]
-    assert got == [dt.datetime(2000, 1, 1)] * 4
+    base = dt.datetime(2000, 1, 1)
+    assert got == [base, base + dt.timedelta(milliseconds=123), base + dt.timedelta(microseconds=123456), base + dt.timedelta(microseconds=123456)]
+
+
+def test_parse_ts_never_raises(spark):
+    """Every text is a value or NULL, in both modes; numbers out of range are NULL."""
+    texts = ["1577836800000", "20200102030405", "99999999999999", "1" + "0" * 18, "9" * 30, "-9223372036854775808", "9223372036854775807",
+             "1577836800.25", "-1.5", "1e9", "+60", "20200102", "2020-13-01", "20201301000000", "", " ", "abc", "١٢٣", "1.", "0.0000001", "-62135596800", "253402300799", "253402300800"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    plain = dict(df.select("s", parse_ts(F.col("s")).alias("t")).collect())
+    scaled = dict(df.select("s", parse_ts(F.col("s"), auto_scale=True).alias("t")).collect())
+    new_year = dt.datetime(2020, 1, 1)
+    assert plain["1577836800000"] is None and scaled["1577836800000"] == new_year
+    assert plain["20200102030405"] is None and scaled["20200102030405"] == dt.datetime(2020, 1, 2, 3, 4, 5)
+    assert plain["1577836800.25"] == new_year + dt.timedelta(milliseconds=250) and plain["+60"] == dt.datetime(1970, 1, 1, 0, 1)
+    assert plain["-62135596800"] == dt.datetime(1, 1, 1) and plain["253402300799"] == dt.datetime(9999, 12, 31, 23, 59, 59)
+    for bad in ("253402300800", "9" * 30, "2020-13-01", "", "abc", "-9223372036854775808", "99999999999999"):
+        assert plain[bad] is None, bad
+    for bad in ("9" * 30, "2020-13-01", "", "abc"):
+        assert scaled[bad] is None, bad
+    n = spark.createDataFrame([(946684800,), (2**63 - 1,), (-(2**63),), (None,)], "n long").select(parse_ts(F.col("n"), T.LongType()).alias("t"))
+    assert [r.t for r in n.collect()] == [dt.datetime(2000, 1, 1), None, None, None]

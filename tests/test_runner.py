@@ -2,10 +2,12 @@ import os
 import tempfile
 
 import pytest
+from pyspark.sql import Window
 
 from ledgerline.plans import runner
 from ledgerline.plans.catalog import QUERIES
 from ledgerline.sources.adapter import RawTables
+from ledgerline.sources.sink import materialize
 from tests.compare import rows_digest
 
 SF = "/root/testdata/sf0.001"
@@ -21,10 +23,114 @@ def test_run_writes_every_model_equal_to_lazy_queries(spark):
         lazy = QUERIES[name](spark, SF)
         cols = lazy.columns
         assert set(cols) <= set(written.columns)
-        assert "_loaded_at" in written.columns
+        assert {c for c in written.columns if c.startswith("_")} == {c for c, has in (("_loaded_at", runner.LOADED), ("_processed_at", runner.PROCESSED)) if name in has}
         assert rows_digest(cols, [tuple(r) for r in written.select(*cols).collect()]) == rows_digest(cols, [tuple(r) for r in lazy.collect()]), name
     failures = {r["check"]: r["failures"] for r in runner.failing_checks(result).collect()}
-    assert failures["missing_dates"] == 0 and failures["duplicate_transactions"] > 0
+    assert failures["missing_dates"] > 0 and failures["duplicate_transactions"] > 0 and failures["calendar_unique_per_date"] > 0
+
+
+def test_transfers_keep_every_line(spark):
+    raw = RawTables(spark, SF)
+    n = spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    assert raw["transfer_ins"].count() + raw["transfer_outs"].count() == n == raw.transfers.count()
+
+
+def test_each_model_is_built_once_and_read_back(spark, monkeypatch):
+    """A consumer's plan reads the written tables, never the driver's facts again."""
+    plans = {}
+    real = runner.materialize
+
+    def spy(df, path, **kw):
+        plans[os.path.basename(path)] = df._jdf.queryExecution().optimizedPlan().toString()
+        return real(df, path, **kw)
+
+    monkeypatch.setattr(runner, "materialize", spy)
+    runner.run(spark, RawTables(spark, SF), tempfile.mkdtemp(prefix="ll-once-"))
+    assert set(plans) == set(runner.LAYOUT)
+    facts = [name for name, plan in plans.items() if "l_orderkey" in plan]
+    assert facts == ["int_unified_transactions"]
+
+
+def test_failed_write_keeps_the_old_table(spark):
+    from pyspark.sql import functions as F
+
+    path = tempfile.mkdtemp(prefix="ll-keep-") + "/t"
+    assert materialize(spark.range(5).toDF("k"), path, cluster_by=["k"]).count() == 5
+    bad = spark.range(5).select(F.raise_error(F.lit("broken")).cast("long").alias("k"))
+    with pytest.raises(Exception):
+        materialize(bad, path)
+    assert spark.read.parquet(path).count() == 5
+    assert materialize(spark.range(7).toDF("k"), path).count() == 7 and os.listdir(os.path.dirname(path)) == ["t"]
+
+
+@pytest.mark.parametrize(("bad", "raises"), [(50, False), (51, True)])
+def test_error_severity_raises(spark, bad, raises):
+    from pyspark.sql import functions as F
+
+    class Raw(RawTables):
+        def _build_pix_movements(self):
+            amount = F.when(F.row_number().over(Window.orderBy("id")) <= bad, F.lit(0)).otherwise(F.lit(5)).cast("decimal(18,2)")
+            return super()._build_pix_movements().withColumn("status", F.lit("completed")).withColumn("pix_amount", amount)
+
+        @property
+        def transfers(self):
+            return super().transfers.withColumn("amount", F.lit(5).cast("decimal(18,2)"))
+
+    out = tempfile.mkdtemp(prefix="ll-sev-")
+    if raises:
+        with pytest.raises(RuntimeError, match="severity error"):
+            runner.run(spark, Raw(spark, SF), out, fail_on_error=True)
+    else:
+        result = runner.run(spark, Raw(spark, SF), out, fail_on_error=True)
+        assert {r.severity for r in runner.failing_checks(result).where("check = 'accepted_range'").collect()} == {"warn"}
+
+
+def test_layout_of_written_files(spark):
+    """Files hold ranges of the cluster key in order, with bloom filters for the point-lookup columns."""
+    import pyarrow.parquet as pq
+
+    out = tempfile.mkdtemp(prefix="ll-layout-")
+    tables = runner.run(spark, RawTables(spark, SF), out).tables
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for name in ("int_transactions_enriched", "int_unified_transactions"):
+            key, blooms = runner.LAYOUT[name][0][0], runner.LAYOUT[name][1]
+            again = materialize(spark.read.parquet(tables[name]), f"{out}/again_{name}", cluster_by=runner.LAYOUT[name][0], bloom_columns=blooms, split_by=runner.SPLIT_BY.get(name, []))
+            files = sorted(f for f in os.listdir(f"{out}/again_{name}") if f.endswith(".parquet"))
+            assert len(files) > 1
+            last = None
+            for f in files:
+                keys = pq.read_table(f"{out}/again_{name}/{f}", columns=[key])[key].to_pylist()
+                assert keys == sorted(keys) and (last is None or keys[0] >= last)
+                last = keys[-1]
+            raw = open(f"{out}/again_{name}/{files[0]}", "rb").read()
+            plain = materialize(spark.read.parquet(tables[name]), f"{out}/plain_{name}", cluster_by=runner.LAYOUT[name][0])
+            assert plain.count() == again.count()
+            size = lambda d: sum(os.path.getsize(f"{d}/{f}") for f in os.listdir(d))
+            assert blooms and len(raw) and size(f"{out}/again_{name}") > size(f"{out}/plain_{name}")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from ledgerline import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
 
 
 def test_csv_landing_run_with_freshness_gate(spark):

@@ -63,3 +63,36 @@ def test_pipes_for_several_tables(spark):
         q.awaitTermination()
     assert spark.read.parquet(os.path.join(raw, "accounts")).first().account_name == "Ana"
     assert spark.read.parquet(os.path.join(raw, "pix_movements")).count() == 1
+
+
+TRANSFER_HEADER = "id,account_id,amount,transaction_requested_at,transaction_completed_at,status\n"
+RAGGED = TRANSFER_HEADER + "1,10,1.00,1577836800,None,pending\n2,10,2.00\n3,10,3.00,1577836800,1577836801,completed,extra,more\n4,10,x,2020-01-01,None,pending\n"
+
+
+def test_malformed_lines_have_one_policy(spark):
+    """Short and long lines: strict scans and streams fail; permissive ones keep the good rows and set the bad aside."""
+    from ledgerline.streaming.ingest import rejected
+
+    base = tempfile.mkdtemp(prefix="ll-ragged-")
+    _write(base, "transfer_ins", "a.csv", RAGGED)
+    with pytest.raises(Exception):
+        csv_scan.scan_table(spark, base, "transfer_ins").collect()
+    with pytest.raises(Exception):
+        ingest_available(spark, "transfer_ins", f"{base}/transfer_ins", f"{base}/sink1", f"{base}/ckpt1")
+    batch = csv_scan.scan_table(spark, base, "transfer_ins", permissive=True)
+    stream = ingest_available(spark, "transfer_ins", f"{base}/transfer_ins", f"{base}/sink2", f"{base}/ckpt2", permissive=True)
+    pick = lambda df: sorted((r.id, r.amount) for r in df.select("id", "amount").collect())
+    assert pick(batch) == pick(stream) and [i for i, _ in pick(batch)] == [1, 4]
+    lines = [sorted(r._rejected_line for r in df.collect()) for df in (csv_scan.rejected_lines(spark, base, "transfer_ins"), rejected(spark, f"{base}/sink2"))]
+    assert lines[0] == lines[1] == ["2,10,2.00", "3,10,3.00,1577836800,1577836801,completed,extra,more"]
+
+
+def test_pipe_types_transfer_times(spark):
+    base = tempfile.mkdtemp(prefix="ll-pipe-")
+    _write(base, "transfer_outs", "a.csv", TRANSFER_HEADER + "1,10,1.00,1577836800,None,pending\n")
+    _write(base, "transfer_outs", "b.csv", TRANSFER_HEADER + "2,10,1.00,2020-01-01 00:00:00,1577836800,completed\n")
+    out = ingest_available(spark, "transfer_outs", f"{base}/transfer_outs", f"{base}/sink", f"{base}/ckpt", max_files_per_trigger=1)
+    assert out.schema["transaction_requested_at"].dataType.simpleString() == "timestamp_ntz"
+    rows = {r.id: r for r in out.collect()}
+    assert rows[1].transaction_completed_at is None and rows[1].transaction_requested_at == rows[2].transaction_completed_at
+    assert len([f for f in os.listdir(f"{base}/ckpt/commits") if not f.startswith(".")]) == 2  # one file per trigger
