@@ -26,6 +26,8 @@ def main() -> None:
     p.add_argument("--as-of", type=dt.date.fromisoformat, default=dt.date.today())
     p.add_argument("--default-start", type=dt.date.fromisoformat, default=dt.date(2020, 1, 1))
     p.add_argument("--permissive", action="store_true", help="malformed numbers become NULL instead of failing")
+    p.add_argument("--auto-scale", action="store_true", help="epoch numbers may be seconds, ms, us or ns, told by magnitude")
+    p.add_argument("--fail-on-error", action="store_true", help="a data test of severity error fails the run")
     a = p.parse_args()
 
     spark = SparkSession.builder.getOrCreate()
@@ -42,8 +44,8 @@ def main() -> None:
             )
             for t in raw
         )
-    result = runner.run(spark, raw, a.out, as_of=a.as_of, default_start=a.default_start, ingest_log=ingest)
-    summary = {r["check"]: r["failures"] for r in runner.failing_checks(result).collect()}
+    result = runner.run(spark, raw, a.out, as_of=a.as_of, default_start=a.default_start, ingest_log=ingest, auto_scale=a.auto_scale, fail_on_error=a.fail_on_error)
+    summary = {f"{r['check']} ({r['severity']})": r["failures"] for r in runner.failing_checks(result).collect()}
     print(json.dumps({"tables": result.tables, "check_failures": summary}, indent=2))
 
 

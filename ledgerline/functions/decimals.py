@@ -43,8 +43,3 @@ def div_half_up(
     quotient = ((top - top % bottom) / bottom).cast(_INT)
     signed = F.when((n < 0) != (d < 0), -quotient).otherwise(quotient)
     return (signed.cast(f"decimal({38 - scale},0)") / F.lit(10**scale)).cast(f"decimal(38,{scale})")
-
-
-def round_half_up(col: Column, col_scale: int, scale: int) -> Column:
-    """``ROUND(col, scale)`` of a decimal of scale ``col_scale``, as DECIMAL(38, scale)."""
-    return div_half_up(col, F.lit(1), scale, num_scale=col_scale)

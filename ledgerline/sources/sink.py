@@ -62,11 +62,20 @@ def materialize(
         writer = writer.partitionBy(*partition_by)
     spark = df.sparkSession
     new = f"{path.rstrip('/')}__new_{uuid.uuid4().hex}"
-    writer.parquet(new)
+    try:
+        writer.parquet(new)
+    except Exception:
+        _delete(spark, new)
+        raise
     _swap(spark, new, path)
     return spark.read.parquet(path)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def _swap(spark: SparkSession, new: str, path: str) -> None:
     """Move ``new`` to ``path``; the table that was there goes last."""
     jvm = spark._jvm

@@ -86,30 +86,35 @@ def test_error_severity_raises(spark, bad, raises):
 
 
 def test_layout_of_written_files(spark):
-    """Files hold ranges of the cluster key in order, with bloom filters for the point-lookup columns."""
+    """Files hold ranges of the cluster key in order; point-lookup columns get bloom filters; more rows, more files."""
     import pyarrow.parquet as pq
 
+    def files(path):
+        return [f"{path}/{f}" for f in sorted(os.listdir(path)) if f.endswith(".parquet")]
+
     out = tempfile.mkdtemp(prefix="ll-layout-")
-    tables = runner.run(spark, RawTables(spark, SF), out).tables
+    assert "account_id" in runner.LAYOUT["fct_transactions"][1] and "transaction_type" in runner.LAYOUT["int_unified_transactions"][1]
+    df = spark.range(200_000).selectExpr("id * 7919 % 1000003 AS account_id", "id AS transaction_id")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        for name in ("int_transactions_enriched", "int_unified_transactions"):
-            key, blooms = runner.LAYOUT[name][0][0], runner.LAYOUT[name][1]
-            again = materialize(spark.read.parquet(tables[name]), f"{out}/again_{name}", cluster_by=runner.LAYOUT[name][0], bloom_columns=blooms, split_by=runner.SPLIT_BY.get(name, []))
-            files = sorted(f for f in os.listdir(f"{out}/again_{name}") if f.endswith(".parquet"))
-            assert len(files) > 1
-            last = None
-            for f in files:
-                keys = pq.read_table(f"{out}/again_{name}/{f}", columns=[key])[key].to_pylist()
-                assert keys == sorted(keys) and (last is None or keys[0] >= last)
-                last = keys[-1]
-            raw = open(f"{out}/again_{name}/{files[0]}", "rb").read()
-            plain = materialize(spark.read.parquet(tables[name]), f"{out}/plain_{name}", cluster_by=runner.LAYOUT[name][0])
-            assert plain.count() == again.count()
-            size = lambda d: sum(os.path.getsize(f"{d}/{f}") for f in os.listdir(d))
-            assert blooms and len(raw) and size(f"{out}/again_{name}") > size(f"{out}/plain_{name}")
+        materialize(df, f"{out}/a", cluster_by=["account_id"], bloom_columns=["account_id"], split_by=["transaction_id"])
+        materialize(df, f"{out}/b", cluster_by=["account_id"], split_by=["transaction_id"])
+        hot = df.selectExpr("1 AS account_id", "transaction_id")
+        materialize(hot, f"{out}/hot", cluster_by=["account_id"], split_by=["transaction_id"])
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    last, ranges = None, []
+    for f in files(f"{out}/a"):
+        stats = [pq.ParquetFile(f).metadata.row_group(g).column(0).statistics for g in range(pq.ParquetFile(f).metadata.num_row_groups)]
+        ranges.append((min(x.min for x in stats), max(x.max for x in stats)))
+        keys = pq.read_table(f, columns=["account_id"])["account_id"].to_pylist()
+        assert keys == sorted(keys) and (last is None or keys[0] >= last)
+        last = keys[-1]
+    assert len(ranges) > 4 and all(hi <= lo for (_, hi), (lo, _) in zip(ranges, ranges[1:]))
+    size = lambda d: sum(map(os.path.getsize, files(f"{out}/{d}")))
+    assert size("a") > 1.1 * size("b")  # the filters
+    rows = [pq.ParquetFile(f).metadata.num_rows for f in files(f"{out}/hot")]
+    assert len(rows) > 4 and max(rows) < 60_000  # one key is cut across tasks
 
 
 def test_scratch_needs_a_shared_folder_on_a_cluster():
