@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import table
+from ledgerline.llm.line_quality import BOILERPLATE, NAVIGATION
 from ledgerline.session import scratch_path
 
 END_ID = 2
@@ -147,15 +148,74 @@ ORACLE: dict[str, str] = {
                            + length(replace(replace(text, '\', '\\'), '<|', '<\|'))) AS BIGINT) AS formatted_chars
         FROM t GROUP BY conv_id
     """,
+    "op2_source_mix": r"""
+        WITH d AS (
+            SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
+        ), s AS (
+            SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+                   CAST(1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS DOUBLE) AS w, 3.0::DOUBLE * sum(size) AS cap
+            FROM d GROUP BY source
+        ), o AS (
+            SELECT *, CAST(sum(source_size) OVER () AS DOUBLE) AS total, row_number() OVER (ORDER BY cap / w, source NULLS LAST) AS k,
+                   (CAST(sum(source_size) OVER () AS DOUBLE) - coalesce(sum(cap) OVER p, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER p, 0)) AS lev
+            FROM s WINDOW p AS (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+        ), g AS (
+            SELECT source, source_size, CASE WHEN total > 0 THEN least(cap, w * (SELECT arg_min(lev, k) FROM o WHERE w * lev <= cap)) ELSE 0 END AS target FROM o
+        ), b AS (
+            SELECT d.doc_id, g.source, g.source_size, CAST(round(target) AS BIGINT) AS quota, e, b, least(512, d.size - b * 512) AS words
+            FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source,
+                 unnest(range(CAST(ceil(round(target) / g.source_size) AS BIGINT))) x(e), unnest(range(CAST(ceil(d.size / 512.0) AS BIGINT))) y(b)
+            WHERE d.size > 0 AND round(target) > 0
+        ), t AS (
+            SELECT doc_id, words, quota - coalesce(sum(words) OVER (PARTITION BY source ORDER BY e, substr(md5(concat_ws('/', 'mix', e, doc_id, b)), 1, 15), doc_id, b
+                                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS room
+            FROM b
+        ), u AS (SELECT doc_id, sum(greatest(0, least(words, room))) AS taken FROM t GROUP BY doc_id)
+        SELECT d.doc_id, d.size, g.source_size, g.target, CAST(coalesce(u.taken, 0) AS BIGINT) AS taken
+        FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source LEFT JOIN u ON u.doc_id = d.doc_id
+    """,
+    "op4_quality_rules": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+        l AS (SELECT r, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)),
+        m AS (
+            SELECT r, line, len(w) AS n, array_to_string(w, ' ') AS x, lower(array_to_string(w, ' ')) AS low,
+                   coalesce(list_sum(list_transform(w, lambda y: length(y))), 0) AS chars, len(regexp_extract_all(line, '[#*$%&|<>]')) AS symbols,
+                   len(list_filter(w, lambda y: y LIKE '%!!')) AS shouts,
+                   len(list_filter(w, lambda y: y IN ('|', '>', '»', '•', '·', '::', '/', '-', '–', '—'))) AS seps
+            FROM l
+        ), f AS (
+            SELECT *, n > 0 AND (
+                (n < 4 AND NOT regexp_matches(x, '[.!?…:;"''”»)\]。！？]$')) OR (n >= 3 AND 2 * shouts > n) OR 10 * symbols > chars
+                OR (seps >= 2 AND 4 * seps >= n) OR (n <= 6 AND regexp_matches(low, '{NAVIGATION}')) OR (n <= 40 AND regexp_matches(low, '{BOILERPLATE}'))
+            ) AS fails FROM m
+        ), q AS (
+            SELECT r, CAST(sum(n) AS BIGINT) AS n_words, CAST(sum(chars) AS BIGINT) AS word_chars, CAST(sum(symbols) AS BIGINT) AS n_symbols,
+                   count(*) FILTER (n > 0) - count(DISTINCT line) FILTER (n > 0) AS n_dup_lines, count(*) FILTER (n > 0) AS n_lines,
+                   count(*) FILTER (fails) AS n_removed_lines, CAST(coalesce(sum(n) FILTER (fails), 0) AS BIGINT) AS n_removed_words
+            FROM f GROUP BY r
+        ), g AS (
+            SELECT r, i, w[i] || chr(1) || w[i + 1] || chr(1) || w[i + 2] AS gram
+            FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM (SELECT r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d))
+        ), c AS (
+            SELECT r, count(DISTINCT i + k) AS n_repeat_words
+            FROM (SELECT r, i, count(*) OVER (PARTITION BY r, gram) AS times FROM g), (VALUES (0), (1), (2)) v(k) WHERE times > 1 GROUP BY r
+        ), z AS (
+            SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, n_lines, n_removed_lines, n_removed_words
+            FROM d JOIN q USING (r) LEFT JOIN c USING (r)
+        )
+        SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+               NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 2 * n_removed_words <= n_words AS kept
+        FROM z
+    """.replace("{NAVIGATION}", NAVIGATION).replace("{BOILERPLATE}", BOILERPLATE),
     "op7_pivot_search": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
             FROM embeddings
             WHERE embedding IS NOT NULL AND len(embedding) > 0
-              AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)
+              AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
         ), scored AS (
             SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
-                   CAST(list_sum(list_transform(list_zip(a.q, b.q), z -> coalesce(z[1], 0) * coalesce(z[2], 0))) AS BIGINT) AS score
+                   CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: coalesce(z[1], 0) * coalesce(z[2], 0))) AS BIGINT) AS score
             FROM v a JOIN v b ON a.vec_id <> b.vec_id
             WHERE a.vec_id % 20 = 0
         )
