@@ -63,11 +63,12 @@ def targets(sizes: DataFrame, weights: list[float], max_epochs: float = 3.0) ->
 def draws(sizes: DataFrame, goals: DataFrame, block_words: int = 512, seed: str = "mix") -> DataFrame:
     """Drawn blocks: sid, rank (0, 1, ... in the source's order, over all epochs), row_id, doc_id, epoch, block, words."""
     w = F.lit(block_words).cast("long")
-    goal = goals.select(F.col("source").alias("goal_source"), "sid", "source_size", F.round("target").cast("long").alias("quota"))
+    # the sources' numbers meet in a table of sources first; documents join it once
+    per_source = sizes.groupBy(F.col("source").alias("block_source")).agg(F.sum(F.ceil(F.col("size") / w)).alias("blocks"))
+    goal = goals.join(per_source, F.col("source").eqNullSafe(F.col("block_source"))).select(
+        F.col("source").alias("goal_source"), "sid", "source_size", "blocks", F.round("target").cast("long").alias("quota")
+    )
     docs = sizes.where("size > 0").join(goal, F.col("source").eqNullSafe(F.col("goal_source"))).where("quota > 0")
-    n_blocks = F.ceil(F.col("size") / w)
-    per_source = docs.groupBy("sid").agg(F.sum(n_blocks).alias("blocks"))
-    docs = docs.join(per_source, "sid")
     epochs = F.ceil(F.col("quota") / F.col("source_size"))
     cut = docs.select("sid", "row_id", "doc_id", "size", "source_size", "quota", "blocks", F.explode(F.sequence(F.lit(0).cast("long"), epochs - 1)).alias("epoch"))
     cut = cut.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("size") / w) - 1)).alias("block"))
