@@ -29,7 +29,7 @@ ROUND, ZEROS, MANTISSA = 3, 5, 8
 #: Largest band group that is compared inside one task.
 MAX_GROUP = 512
 #: Classes in a verification block: the least, and the most beyond SPREAD blocks.
-SMALL_BLOCK, LARGE_BLOCK, SPREAD = 64, 1024, 48
+SMALL_BLOCK, LARGE_BLOCK, SPREAD = 256, 1024, 48
 SKETCHED = "doc_id long, n_shingles long, digest binary, sketch binary, bands array<long>"
 
 _WORDS: dict[bytes, int] = {}
@@ -243,7 +243,9 @@ def verified_edges(docs: DataFrame, members: DataFrame, words: int, percent: int
                 yield pa.RecordBatch.from_arrays([*[some.column(i) for i in range(4)], pa.array(sets, pa.binary())], ["node", "component", "k", "own", "set"])
 
     texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
-    with_sets = texts.join(own, "node").select("node", "component", "k", "own", "text").mapInArrow(make_sets, "node long, component long, k int, own int, set binary")
+    # the ids have no size bound, so this is the same shuffle join at every size, never a broadcast of them
+    with_sets = texts.join(own.hint("merge"), "node").select("node", "component", "k", "own", "text").mapInArrow(make_sets, "node long, component long, k int, own int, set binary")
+    with_sets = stored(with_sets, "candidate_sets")  # once each; the ranges below are sampled from it
     other = F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other")
     pairs = with_sets.select("node", "component", "own", other, "set").select(
         "node", "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "set"
@@ -275,7 +277,8 @@ def verified_edges(docs: DataFrame, members: DataFrame, words: int, percent: int
         found = edges(ids, raw)
         yield pa.RecordBatch.from_pydict({"a": pa.array([e[0] for e in found], pa.int64()), "b": pa.array([e[1] for e in found], pa.int64())})
 
-    runs = pairs.select("component", "i", "j", "node", "set").repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "node")
+    # ranges of equal row counts, so that the groups of one large component spread evenly
+    runs = pairs.select("component", "i", "j", "node", "set").repartitionByRange("component", "i", "j").sortWithinPartitions("component", "i", "j", "node")
     return runs.mapInArrow(verify, "a long, b long").distinct()
 
 
