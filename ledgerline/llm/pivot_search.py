@@ -83,31 +83,46 @@ def blocks(rows: DataFrame, pivots, width: int, size: int) -> DataFrame:
 
 
 def best_of_slice(q: dict, c: dict, k: int):
-    """The k best candidates of a slice for each query of a block, in bound order until exact stopping."""
+    """The k best candidates of a slice for each query of a block.
+
+    64 queries go together. Candidates are evaluated in rounds in the order of their bounds (the 8k greatest, the 64k
+    greatest, the rest); after each round the k-th best exact score is the level that a bound must reach, and a query
+    stops when no bound does.
+    """
     import numpy as np
 
+    peak = int(np.abs(q["vectors"]).max()) * int(np.abs(c["vectors"]).max()) * q["vectors"].shape[1]
+    kind, lowest = (np.float64, -np.inf) if peak < 2**53 else (np.int64, np.iinfo(np.int64).min)  # exact either way
+    x, table, n = c["vectors"].astype(kind).T, c["pivots"].astype(np.float32).T, len(c["ids"])
     found_q, found_c, found_s = [], [], []
-    for start in range(0, len(q["ids"]), 64):  # so many queries' bounds are held at once
+    for start in range(0, len(q["ids"]), 64):
         rows = slice(start, start + 64)
-        gap = np.zeros((len(q["ids"][rows]), len(c["ids"])))
-        for p in range(c["pivots"].shape[1]):  # the greatest lower bound over all pivots
-            np.maximum(gap, np.abs(q["pivots"][rows, p, None] - c["pivots"][None, :, p]), out=gap)
-        # a millionth covers the rounding of the distances, so that no bound is too low
-        gap = np.maximum(gap * (1 - 1e-6) - 1e-6, 0)
-        bounds = (q["norms"][rows, None] + c["norms"][None, :] - gap * gap) / 2 + 1e-3
-        for own, vector, bound in zip(q["ids"][rows], q["vectors"][rows], bounds, strict=True):
-            order = np.argsort(-bound, kind="stable")
-            ids, scores, at, step = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, 8 * k
-            while at < len(order) and not (len(scores) == k and bound[order[at]] < scores[-1]):
-                some = order[at : at + step]
-                at, step = at + step, 4 * step
-                some = some[c["ids"][some] != own]
-                ids, scores = np.concatenate([ids, c["ids"][some]]), np.concatenate([scores, c["vectors"][some] @ vector])
-                top = np.lexsort((ids, -scores))[:k]
-                ids, scores = ids[top], scores[top]
-            found_q.append(np.full(len(ids), own))
-            found_c.append(ids)
-            found_s.append(scores)
+        own, vectors, near = q["ids"][rows], q["vectors"][rows].astype(kind), q["pivots"][rows].astype(np.float32)
+        gap = np.zeros((len(own), n), np.float32)
+        for p in range(len(table)):  # the greatest lower bound over all pivots
+            np.maximum(gap, np.abs(near[:, p, None] - table[p]), out=gap)
+        # the margins cover the rounding of the distances, so that no bound is too low
+        gap = np.maximum(gap.astype(np.float64) * (1 - 1e-5) - 1e-3, 0)
+        norms = (q["norms"][rows, None] + c["norms"][None, :]).astype(np.float64)
+        bounds = (norms - gap * gap) / 2 + 1e-3 + 1e-12 * norms
+        bounds[own[:, None] == c["ids"][None, :]] = -np.inf
+        scores, open_, level = np.full(bounds.shape, lowest, kind), bounds > -np.inf, np.full(len(own), -np.inf)
+        for m in (8 * k, 64 * k, n):
+            cut = -np.partition(-bounds, m - 1, axis=1)[:, m - 1] if m < n else np.full(len(own), -np.inf)
+            now = open_ & (bounds >= np.maximum(cut, level)[:, None])
+            cols = np.flatnonzero(now.any(0))
+            scores[:, cols] = np.where(now[:, cols], vectors @ x[:, cols], scores[:, cols])
+            open_ &= ~now
+            best = np.partition(scores, n - k, axis=1)[:, n - k] if n >= k else np.full(len(own), lowest, kind)
+            level = np.where(best == lowest, -np.inf, best.astype(np.float64))
+            if m >= n or not (open_ & (bounds >= level[:, None])).any():
+                break
+        for i in range(len(own)):
+            some = np.flatnonzero((scores[i] > lowest) & (scores[i] >= best[i]))
+            top = some[np.lexsort((c["ids"][some], -scores[i, some]))[:k]]
+            found_q.append(np.full(len(top), own[i]))
+            found_c.append(c["ids"][top])
+            found_s.append(scores[i, top].astype(np.int64))
     return np.concatenate(found_q), np.concatenate(found_c), np.concatenate(found_s)
 
 

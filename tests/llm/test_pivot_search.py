@@ -2,9 +2,10 @@
 
 import math
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from ledgerline.llm.pivot_search import search
+from ledgerline.llm.pivot_search import best_of_slice, choose_pivots, search
 from ledgerline.llm.queries import op7_pivot_search
 
 
@@ -43,3 +44,16 @@ def test_blocks_and_edges(spark):
     assert sorted(tuple(r) for r in search(few, F.col("vec_id") == 0).collect()) == brute([r for r in rows if r[0] in (0, 1, 2)], lambda i: i == 0)
     assert search(df, F.col("vec_id") == 10**6).collect() == [] and search(df.limit(0), F.lit(True)).collect() == []
     assert search(df.where("vec_id = 10"), F.lit(True)).collect() == []
+
+
+def test_large_components_stay_exact():
+    """Scores beyond 2^53 are computed in integers; bounds never lose a result."""
+    rng = np.random.default_rng(2)
+    for top in (2**6, 2**26):
+        x = rng.integers(-top, top, (700, 40))
+        pivots = choose_pivots(x[:100], 5)
+        side = {"ids": np.arange(700), "vectors": x, "norms": (x * x).sum(1), "pivots": np.sqrt(((x[:, None] - pivots[None]).astype(float) ** 2).sum(2))}
+        got = list(zip(*(a.tolist() for a in best_of_slice({k: v[:30] for k, v in side.items()}, side, 9)), strict=True))
+        for i in range(30):
+            want = sorted((-int(x[i] @ x[j]), j) for j in range(700) if j != i)[:9]
+            assert [(j, s) for q, j, s in got if q == i] == [(j, -s) for s, j in want]
