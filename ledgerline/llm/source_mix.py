@@ -199,5 +199,6 @@ def mixed_documents(docs: DataFrame, weights: list[float], max_epochs: float = 3
     sizes = stored(sized(docs, row_id=key).dropDuplicates(["row_id"]), "documents_sized")
     drawn = mix_sources(sizes, targets(sizes, weights, max_epochs), shards, 1 << 30, seed)
     copies = drawn.groupBy("row_id").agg(F.count("*").cast("int").alias("copies")).select(F.col("row_id").alias("key__"), "copies")
-    met = docs.join(copies, key == F.col("key__"))
+    # the drawn documents have no size bound: the same shuffle join at every size
+    met = docs.join(copies.hint("merge"), key == F.col("key__"))
     return met.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy__")).drop("copy__")
