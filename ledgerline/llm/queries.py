@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import table
+from ledgerline.llm.common import stored, table
 from ledgerline.llm.line_quality import BOILERPLATE, NAVIGATION
 from ledgerline.session import scratch_path
 
@@ -119,6 +119,26 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm import token_align as t
+
+    a, b = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    aligned = t.align_documents(table(spark, sf_dir, "documents"), a, b)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    kept = stored(aligned.withColumn("row_id", F.monotonically_increasing_id()).select("*", digest).drop("groups"), "aligned")
+    counts = stored(t.link_counts(kept), "link_counts")
+    scored = t.score_links(kept, counts, t.most_pairs(a, b))
+    rows = kept.select("row_id", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256").join(scored.hint("merge"), "row_id", "left")
+    number = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c)
+    return rows.select("doc_id", "n_a", "n_b", "n_groups", "n_links", number("n_best"), number("count_sum"), "groups_sha256")
+
+
+def op13_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm.simhash_dedup import simhash_duplicates
+
+    return simhash_duplicates(table(spark, sf_dir, "documents"), words=3)
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_source_mix": op2_source_mix,
@@ -130,6 +150,8 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_token_counts": op9_token_counts,
     "op10_language_id": op10_language_id,
+    "op12_token_align": op12_token_align,
+    "op13_simhash_dedup": op13_simhash_dedup,
 }
 
 #: DuckDB SQL where SQL can express the query; the others are tested against brute force in tests/llm.
