@@ -5,11 +5,10 @@ token of the other side; a token pair that ends together is the end of its compo
 (``succ = succ[succ]``) brings every token to the terminal token of its component, which labels its group: the smallest
 runs of A and B tokens that cover the same bytes.
 
-Texts are cut into chunks where both tokenizers surely cut: before a single space between two characters that are no
-white space. That needs a byte-level pre-tokenizer for A, and for B an identity normalizer that puts a space in front
-and a vocabulary without a piece that has a space after another character; both are read from the files
-(``cuts_at_spaces``), and without them a text is one chunk. Chunks repeat, so a worker remembers the groups of the
-first ``MAX_REMEMBERED`` short ones; new chunks of a batch are encoded by the libraries and labelled together.
+Texts are cut where both tokenizers surely cut, which is read from the files (``cuts_surely``): before white space that
+starts with a space or a line feed, and between ASCII letters and the ASCII punctuation that ends a word. Pieces repeat,
+so a worker remembers the groups of the first ``MAX_REMEMBERED`` short ones; new pieces of a batch are encoded by the
+libraries and labelled together. Without that proof a text is one piece.
 
 A link is a pair of an A and a B token occurrence that end together. ``link_counts`` counts the id pairs over the
 corpus. One token's bytes end with the other's, so the number of different pairs is bounded by the vocabularies, not by
@@ -27,8 +26,8 @@ from itertools import chain
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_REMEMBERED, MAX_CHUNK = 250_000, 48
-#: Characters of a text that are taken at once; a longer text is cut at the next chunk border.
+MAX_REMEMBERED, MAX_PIECE = 250_000, 48
+#: Characters of a text that are taken at once; a longer text is cut at the next border.
 RUN = 1 << 20
 #: Rows of the pair table up to which it may be broadcast (two longs and a flag each).
 MAX_BROADCAST_PAIRS = 4_000_000
@@ -36,7 +35,15 @@ MAX_BROADCAST_PAIRS = 4_000_000
 SHIFT = 32
 ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, pairs array<long>, times array<long>"
 
-_BORDER = re.compile(r"(?<=\S) (?=\S)")
+_PUNCTUATION = r"[!-/:-@\[-`{-~]"
+#: Before white space that starts with a space or a line feed; within a word, before the punctuation that ends it.
+_BORDER = re.compile(r"(?<=[^\s\u180e])(?=[ \n])")
+_INNER = re.compile(rf"(?<=[^\s\u180e])(?=[ \n])|(?<=[A-Za-z])(?={_PUNCTUATION}+(?:[ \n]|$))")
+#: White space that two pieces can't be cut out of by looking at single spaces only.
+_ODD_SPACE = re.compile(r"  | [^\S ]|[^\S ] |^\s|\s$|\u180e")
+#: What stands for a piece whose joined token bytes differ from it.
+DIFFERS = (-1, "", ())
+
 _LOADED: dict[tuple, Aligner] = {}
 
 
@@ -67,8 +74,9 @@ def token_bytes(path: str) -> list[bytes]:
     return [added[i] if i in added else level(ids[i]) if i in ids else b"" for i in range(max([*ids, *added]) + 1)]
 
 
-def cuts_at_spaces(path_a: str, path_b: str) -> bool:
-    """Whether both files surely cut before a single space between characters that are no white space."""
+def cuts_surely(path_a: str, path_b: str) -> bool:
+    """Whether both files cut at every border above: A's pre-tokenizer is the byte-level one with its own pattern; B
+    leaves texts as they are but for a space in front, and no piece of its vocabulary crosses a border."""
     with open(path_a, encoding="utf-8") as f:
         spec = json.load(f)
     pre = spec.get("pre_tokenizer") or {}
@@ -83,8 +91,23 @@ def cuts_at_spaces(path_a: str, path_b: str) -> bool:
     proto.ParseFromString(model.serialized_model_proto())
     rules = proto.normalizer_spec
     plain = not rules.precompiled_charsmap and rules.add_dummy_prefix and not rules.remove_extra_whitespaces
-    bpe = proto.trainer_spec.model_type == 2 and not any(p.type == 4 for p in proto.pieces)  # no user-defined pieces
-    return bool(plain and bpe and not any(re.search("[^▁]▁", p.piece) for p in proto.pieces))
+    usual, user_defined = [p.piece for p in proto.pieces if p.type == 1], any(p.type == 4 for p in proto.pieces)
+    crosses = re.compile(rf"[^▁]▁|\n|[A-Za-z]{_PUNCTUATION}")
+    return bool(plain and proto.trainer_spec.model_type == 2 and not user_defined and not any(map(crosses.search, usual)))
+
+
+def merge_ranks(path: str) -> dict[bytes, int] | None:
+    """The vocabulary of a byte-level file as byte strings with ranks, if its ids are in the order of its merges."""
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    if model.get("type") != "BPE" or any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")):
+        return None
+    vocab = model["vocab"]
+    joined = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    if [vocab.get(t) for t in joined] != list(range(256, 256 + len(joined))) or len(vocab) != 256 + len(joined):
+        return None
+    alphabet = byte_alphabet()
+    return {bytes(map(alphabet.__getitem__, t)): i for t, i in vocab.items()}
 
 
 def terminals(ends_a, ends_b):
@@ -109,6 +132,7 @@ class Aligner:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import numpy as np
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_file(path_a)
@@ -118,105 +142,149 @@ class Aligner:
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.bytes_a, self.bytes_b = token_bytes(path_a), token_bytes(path_b)
         self.len_a, self.len_b = (np.array([len(t) for t in x], np.int64) for x in (self.bytes_a, self.bytes_b))
-        self.in_chunks = cuts_at_spaces(path_a, path_b)
-        self.known: dict[str, tuple] = {}
+        self.written = list(map(str, range(max(len(self.bytes_a), len(self.bytes_b)))))
+        self.in_pieces = cuts_surely(path_a, path_b)
+        # a space and ASCII letters are one pre-token, which the same merges cut in the same way, only faster
+        ranks = merge_ranks(path_a) if self.in_pieces else None
+        self.one_word = tiktoken.Encoding("words", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={}).encode_ordinary if ranks else None
+        #: Words (what stands between two single spaces) and other pieces (with their white space in front, or none).
+        self.words: dict[str, tuple] = {}
+        self.others: dict[str, tuple] = {}
+
+    def runs(self, text: str) -> Iterator[tuple[list[str], bool]]:
+        """(words or pieces, which) of a text; a long text in several runs, all but the first as pieces."""
+        if not self.in_pieces:
+            yield [" " + text], False
+        elif len(text) <= RUN and not _ODD_SPACE.search(text):
+            yield text.split(" "), True
+        else:
+            text, start = " " + text, 0
+            while len(text) - start > RUN + 1 and (cut := _BORDER.search(text, start + RUN)):
+                yield _INNER.split(text[start : cut.start()]), False
+                start = cut.start()
+            yield _INNER.split(text[start:]), False
+
+    def encode(self, pieces: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """ids of A and B of pieces, as in the middle of a text. B puts a space in front of what it gets; a piece without
+        one gets a line feed, which B always gives an id of its own, and both ids are taken off again."""
+        ids_a: list = [None] * len(pieces)
+        rest = []
+        for i, p in enumerate(pieces):
+            if self.one_word and p[0] == " " and p.isascii() and p[1:].isalpha():
+                ids_a[i] = self.one_word(p)
+            else:
+                rest.append(i)
+        for i, e in zip(rest, self.a.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False), strict=True):
+            ids_a[i] = e.ids
+        given = [(p[1:], 0) if p[0] == " " and len(p) > 1 else (p, 1) if p[0] == "\n" else ("\n" + p, 2) for p in pieces]
+        ids_b = self.b.encode([t for t, _ in given], num_threads=1)
+        return ids_a, [ids[off:] if off else ids for ids, (_, off) in zip(ids_b, given, strict=True)]
+
+    def label(self, pieces: list[str]) -> Iterator[tuple]:
+        """(n_a << 32 | n_b, groups text, pairs of its links) of each piece; DIFFERS if the bytes of a side differ."""
+        import numpy as np
 
-    def runs(self, text: str) -> Iterator[list[str]]:
-        """Chunks of a text without the space in front of each; a long text in several lists."""
-        if not self.in_chunks:
-            yield [text]
+        ids_a, ids_b = self.encode(pieces)
+        flat_a, flat_b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (ids_a, ids_b))
+        raw = [p.encode() for p in pieces]
+        whole, limits = b"".join(raw), np.cumsum([len(r) for r in raw])
+        sides = ((flat_a, self.bytes_a, self.len_a), (flat_b, self.bytes_b, self.len_b))
+        if not all(b"".join(map(of.__getitem__, f.tolist())) == whole and np.isin(limits, lens[f].cumsum()).all() for f, of, lens in sides):
+            if len(pieces) == 1:
+                yield DIFFERS
+                return
+            half = len(pieces) // 2  # the pieces that differ are found by halving
+            yield from self.label(pieces[:half])
+            yield from self.label(pieces[half:])
             return
-        start = 0
-        while len(text) - start > RUN and (cut := _BORDER.search(text, start + RUN)):
-            yield self.chunks(text[start : cut.start()])
-            start = cut.end()
-        yield self.chunks(text[start:])
+        group_a, group_b = terminals(self.len_a[flat_a].cumsum(), self.len_b[flat_b].cumsum())
+        last_b = np.flatnonzero(np.r_[group_b[1:] != group_b[:-1], True])  # a group's tokens are neighbours
+        last_a = np.searchsorted(group_a, last_b, side="right") - 1
+        pairs = (flat_a[last_a] << SHIFT | flat_b[last_b]).tolist()
+        say = self.written.__getitem__
+        text_a, text_b = list(map(say, flat_a.tolist())), list(map(say, flat_b.tolist()))
+        stop_a, stop_b = (last_a + 1).tolist(), (last_b + 1).tolist()
+        groups = [
+            f"{text_a[i]}|{text_b[k]}" if j - i == 1 == m - k else ",".join(text_a[i:j]) + "|" + ",".join(text_b[k:m])
+            for i, j, k, m in zip([0, *stop_a], stop_a, [0, *stop_b], stop_b, strict=False)
+        ]
+        last_group = (np.searchsorted(last_b, np.cumsum([len(y) for y in ids_b]) - 1) + 1).tolist()
+        for x, y, i, j in zip(ids_a, ids_b, [0, *last_group], last_group, strict=False):
+            yield len(x) << 32 | len(y), groups[i] if j - i == 1 else ";".join(groups[i:j]), tuple(pairs[i:j])
+
+    def learn(self, texts: set[str], as_words: bool) -> dict[str, tuple]:
+        """What is not remembered of the words (or pieces), labelled; as much as fits is remembered."""
+        known = self.words if as_words else self.others
+        new = [t for t in texts if t not in known]
+        found: dict[str, tuple] = {}
+        if as_words and new:
+            cut = {t: _INNER.split(" " + t) for t in new}
+            alone = {p[0][1:] for p in cut.values()} - known.keys()
+            found = dict(zip(alone, self.label([" " + t for t in alone]), strict=True)) if alone else {}
+            rest = self.learn({p for ps in cut.values() for p in ps[1:]}, False)
+            joined = {}
+            for t, p in cut.items():
+                if len(p) > 1:
+                    first = known.get(p[0][1:]) or found[p[0][1:]]
+                    parts = [first, *(self.others.get(x) or rest[x] for x in p[1:])]
+                    joined[t] = self.joined(parts)
+            found |= joined
+        elif new:
+            for k in range(0, len(new), 8192):
+                found.update(zip(new[k : k + 8192], self.label(new[k : k + 8192]), strict=True))
+        room = MAX_REMEMBERED // (1 if as_words else 4) - len(known)
+        if room > 0:
+            known.update((t, v) for t, v in list(found.items())[:room] if len(t) <= MAX_PIECE)
+        return found
 
     @staticmethod
-    def chunks(text: str) -> list[str]:
-        parts = text.split(" ")
-        if all(p and not p[0].isspace() and not p[-1].isspace() for p in parts):
-            return parts
-        return _BORDER.split(text)
-
-    def learn(self, chunks: set[str]) -> dict[str, tuple]:
-        """Chunk -> (n_a, n_b, n_groups, groups text, pairs of its links), None if the bytes of a side differ."""
-        import numpy as np
-
-        new = [c for c in chunks if c not in self.known]
-        if not new:
-            return self.known
-        found: dict[str, tuple | None] = {}
-        ids_a = [e.ids for e in self.a.encode_batch([" " + c for c in new], add_special_tokens=False)]
-        ids_b = self.b.encode(new, num_threads=1)
-        same = []
-        for c, x, y in zip(new, ids_a, ids_b, strict=True):
-            raw = b" " + c.encode()
-            if b"".join(map(self.bytes_a.__getitem__, x)) == raw and b"".join(map(self.bytes_b.__getitem__, y)) == raw:
-                same.append((c, x, y))
-            else:
-                found[c] = None
-        if same:
-            flat_a = np.fromiter(chain.from_iterable(x for _, x, _ in same), np.int64)
-            flat_b = np.fromiter(chain.from_iterable(y for _, _, y in same), np.int64)
-            end_a, end_b = self.len_a[flat_a].cumsum(), self.len_b[flat_b].cumsum()
-            group_a, group_b = terminals(end_a, end_b)
-            # a group's tokens are neighbours: one past its last A token, and one past its last B token
-            last_b = np.flatnonzero(np.r_[group_b[1:] != group_b[:-1], True])
-            last_a = np.searchsorted(group_a, last_b, side="right") - 1
-            pairs = (flat_a[last_a] << SHIFT | flat_b[last_b]).tolist()
-            text_a, text_b = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist()))
-            borders = list(zip([0, *(last_a + 1).tolist()], (last_a + 1).tolist(), [0, *(last_b + 1).tolist()], (last_b + 1).tolist(), strict=False))
-            written = [",".join(text_a[i:j]) + "|" + ",".join(text_b[k:m]) for i, j, k, m in borders]
-            chunk_end = np.searchsorted(last_b, np.cumsum([len(y) for _, _, y in same]) - 1).tolist()
-            at = 0
-            for (c, x, y), last in zip(same, chunk_end, strict=True):
-                found[c] = (len(x), len(y), last + 1 - at, ";".join(written[at : last + 1]), pairs[at : last + 1])
-                at = last + 1
-        if len(self.known) + len(new) <= MAX_REMEMBERED:
-            self.known.update((c, v) for c, v in found.items() if len(c) <= MAX_CHUNK)
-            if max(map(len, new)) <= MAX_CHUNK:
-                return self.known
-        return found | {c: self.known[c] for c in chunks if c in self.known}
+    def joined(parts: list[tuple]) -> tuple:
+        if DIFFERS in parts:
+            return DIFFERS
+        counts, groups, pairs = zip(*parts, strict=True)
+        return sum(counts), ";".join(groups), tuple(chain.from_iterable(pairs))
 
     def align(self, texts: list[str | None]) -> Iterator[tuple]:
-        """(n_a, n_b, n_groups, n_links, groups, pairs, times) of each text; short texts are learned together."""
-        batch, held = [], 0
+        """(n_a, n_b, n_groups, n_links, groups, pairs, times) of each text; the new words of some are learned together."""
+        batch: list[tuple[list[str], bool] | None] = []
+        held = 0
         for text in texts:
+            if not text or len(text) <= RUN:
+                batch.append(next(self.runs(text)) if text else None)
+                held += len(text or "")
+                if held <= RUN:
+                    continue
+            yield from self.together(batch)
+            batch, held = [], 0
             if text and len(text) > RUN:
-                yield from self.together(batch)
-                batch, held = [], 0
-                yield self.put_together((run, self.learn(set(run))) for run in self.runs(text))
-                continue
-            batch.append(next(self.runs(text)) if text else [])
-            held += len(text or "")
-            if held > RUN:
-                yield from self.together(batch)
-                batch, held = [], 0
+                yield self.put_together(self.parts(run, which, self.learn(set(run), which)) for run, which in self.runs(text))
         yield from self.together(batch)
 
-    def together(self, batch: list[list[str]]) -> Iterator[tuple]:
-        of = self.learn(set(chain.from_iterable(batch)))
-        for chunks in batch:
-            yield self.put_together([(chunks, of)])
+    def together(self, batch: list) -> Iterator[tuple]:
+        of = {which: self.learn(set(chain.from_iterable(b[0] for b in batch if b and b[1] == which)), which) for which in (True, False)}
+        for b in batch:
+            yield self.put_together([self.parts(*b, of[b[1]])] if b else [])
 
-    @staticmethod
-    def put_together(runs) -> tuple:
+    def parts(self, pieces: list[str], as_words: bool, found: dict[str, tuple]) -> list[tuple]:
+        parts = list(map((self.words if as_words else self.others).get, pieces))
+        return [p or found[t] for p, t in zip(parts, pieces, strict=True)] if None in parts else parts
+
+    def put_together(self, runs) -> tuple:
         import numpy as np
 
-        n, written, pairs = [0, 0, 0], [], []
-        for chunks, of in runs:
-            parts = list(map(of.__getitem__, chunks))
-            if None in parts:
+        n_a, n_b, written, pairs = 0, 0, [], []
+        for parts in runs:
+            joined = self.joined(parts)
+            if joined is DIFFERS:
                 return 0, 0, 0, 0, "", [], []
-            for k in range(3):
-                n[k] += sum(p[k] for p in parts)
-            written += [p[3] for p in parts]
-            pairs.append(np.fromiter(chain.from_iterable(p[4] for p in parts), np.int64))
+            n_a, n_b = n_a + (joined[0] >> 32), n_b + (joined[0] & (1 << 32) - 1)
+            written.append(joined[1])
+            pairs.append(np.array(joined[2], np.int64))
         if not written:
             return 0, 0, 0, 0, "", [], []
         of_doc, times = np.unique(np.concatenate(pairs), return_counts=True)
-        return *n, int(times.sum()), ";".join(written), of_doc, times
+        n = int(times.sum())
+        return n_a, n_b, n, n, ";".join(written), of_doc, times
 
 
 def aligner(path_a: str, path_b: str) -> Aligner:
