@@ -119,6 +119,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerline.llm.hard_negatives import mine_negatives
+
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
 def op12_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.llm import token_align as t
 
@@ -150,6 +157,7 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_token_counts": op9_token_counts,
     "op10_language_id": op10_language_id,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_token_align": op12_token_align,
     "op13_simhash_dedup": op13_simhash_dedup,
 }
@@ -245,4 +253,30 @@ ORACLE: dict[str, str] = {
         FROM scored
         QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
     """,
+    "op11_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, r.label AS label, r.q AS q FROM (
+                SELECT vec_id, max(struct_pack(
+                    label := CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END,
+                    q := list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)))) AS r
+                FROM embeddings
+                WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                  AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+                GROUP BY vec_id)
+        ), scored AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id AS vec_id, a.label = b.label AS same,
+                   CAST(coalesce(list_sum(list_transform(list_zip(a.q, b.q), lambda z: coalesce(z[1], 0) * coalesce(z[2], 0))), 0) AS BIGINT) AS score
+            FROM v a JOIN v b ON a.vec_id <> b.vec_id
+            WHERE a.vec_id % 50 = 0
+        ), p AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        ), n AS (
+            SELECT p.anchor_id, positive_id, positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+                   row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS k
+            FROM p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+             AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+        )
+        SELECT anchor_id, positive_id, CAST(k AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE k <= 3
+    """,
 }
