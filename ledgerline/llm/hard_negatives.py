@@ -388,9 +388,10 @@ class Index:
 def share_of(score: Column, percent: int, up: bool) -> Column:
     """score * percent / 100 rounded up or down, for 0 <= percent <= 100: hundreds and rest apart, so that the product
     stays in the range of a long."""
-    div = lambda x: F.call_function("div", x, F.lit(100).cast("long"))
-    rest = F.pmod(score, F.lit(100).cast("long"))
-    return div(score - rest) * percent + div(rest * percent + (99 if up else 0))
+    hundred = F.lit(100).cast("long")
+    div = lambda x: F.call_function("div", x, hundred)
+    part = (score % hundred) * percent + (99 if up else 0)
+    return div(score) * percent + div(part - F.pmod(part, hundred))
 
 
 def mine_negatives(
