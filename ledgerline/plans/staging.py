@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions import labels as L
-from ledgerline.functions.timeparse import parse_ts_of
+from ledgerline.functions.timeparse import parse_ts_of, with_parsed_ts
 from ledgerline.operators.joins import sized_broadcast
 
 # Upper bound for broadcasting a calendar or location lookup.
@@ -72,19 +72,21 @@ def stg_transfers(transfers: DataFrame, direction: Column, source_table: Column,
     """Shared body of ``stg_transfer_ins`` / ``stg_transfer_outs``.
 
     Completion time is epoch-second text in the external-table load and a real
-    timestamp in the pipe load; ``parse_ts`` accepts both and never raises, so the
-    cast cannot fail on rows the status filter would drop.
+    timestamp in the pipe load; the parser accepts both and never raises, so the
+    cast cannot fail on rows the status filter would drop. It runs once per row.
     """
-    parsed = transfers.where(F.col("status") == "completed").select(
+    completed = transfers.where(F.col("status") == "completed").select(
         F.col("id").alias("transaction_id"),
         "account_id",
         F.col("amount").alias("transaction_amount"),
+        # no model filters or joins on it, so where it is unused it isn't parsed at all
         parse_ts_of(transfers, "transaction_requested_at", auto_scale).alias("transaction_requested_at"),
-        parse_ts_of(transfers, "transaction_completed_at", auto_scale).alias("transaction_completed_at"),
+        "transaction_completed_at",
         "status",
         direction.alias("transaction_direction"),
         source_table.alias("source_table"),
     )
+    parsed = with_parsed_ts(completed, "transaction_completed_at", auto_scale)
     return parsed.select(
         "transaction_id", "account_id", "transaction_amount", "transaction_requested_at", "transaction_completed_at",
         *_completion_parts(parsed),

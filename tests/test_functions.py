@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.decimals import div_half_up
-from ledgerline.functions.timeparse import month_sequence, parse_ts
+from ledgerline.functions.timeparse import month_sequence, parse_ts, with_parsed_ts
 
 
 def _exact(num, den, scale, times=1):
@@ -80,6 +80,29 @@ def test_parse_ts_auto_scale(spark):
     assert got == [base, base + dt.timedelta(milliseconds=123), base + dt.timedelta(microseconds=123456), base + dt.timedelta(microseconds=123456)]
 
 
+def test_with_parsed_ts_equals_the_expression(spark):
+    """Both forms agree on every kind of text, in every session time zone; other columns and their order stay."""
+    texts = ["0", " 60 ", "-1", "946684800", "946684800.123456", "1.", "-0.5", "253402300799.999999", "253402300800", "-62135596800.5", "2001-02-03", "2001-02-03 04:05:06.5",
+             "1577836800000", "20200102030405", "9" * 31, "1e9", "None", "", "x", None, "1997-10-05 23:30:00"]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/Sao_Paulo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.createDataFrame([(i, s, s, 1) for i, s in enumerate(texts)], "i int, s string, kept string, last int")
+            for scale in (False, True):
+                both = with_parsed_ts(df, "s", scale).withColumn("e", parse_ts(F.col("kept"), auto_scale=scale))
+                assert both.columns == ["i", "s", "kept", "last", "e"]
+                rows = both.collect()
+                assert len(rows) == len(texts) and all(r.s == r.e for r in rows)
+                got = {r.kept: r.s for r in rows}
+                assert got["946684800.123456"] == dt.datetime(2000, 1, 1, 0, 0, 0, 123456) and got["1997-10-05 23:30:00"] == dt.datetime(1997, 10, 5, 23, 30)
+                assert got["9" * 31] is None and got["-0.5"] == dt.datetime(1969, 12, 31, 23, 59, 59, 500000)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    timed = spark.createDataFrame([(dt.datetime(2020, 1, 1),)], "t timestamp_ntz")
+    assert with_parsed_ts(timed, "t").collect() == timed.collect()
+
+
 def test_parse_ts_never_raises(spark):
     """Every text is a value or NULL, in both modes; numbers out of range are NULL."""
     texts = ["1577836800000", "20200102030405", "99999999999999", "1" + "0" * 18, "9" * 30, "-9223372036854775808", "9223372036854775807",
