@@ -5,12 +5,16 @@ feeds, non-empty lookups), then build every model as a full-rebuild table in
 dependency order, with the clustered layout each model declares. Each written
 table is what later models read: lineage is cut (a lost executor recomputes from
 the last written table, not from the raw files) and nothing is built twice.
+
+Tests run between the layers, on what their layer has just staged, and all
+tables are published together at the end: a run that fails on the way leaves
+the tables of the last good run as they were.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Collection, Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +23,8 @@ from pyspark.sql import functions as F
 from ledgerline.operators import quality as Q
 from ledgerline.plans import checks as C
 from ledgerline.plans.models import AS_OF, DEFAULT_START, BankModels
-from ledgerline.sources.sink import materialize, with_metadata
+from ledgerline.sources.sink import with_metadata
+from ledgerline.sources.versions import VersionedTables
 
 # Layout per model: (cluster_by, bloom filter columns). From the models' configs.
 LAYOUT: dict[str, tuple[list[str], list[str]]] = {
@@ -60,8 +65,30 @@ PROCESSED = {
 }
 
 
+#: Data tests by the layer that they guard: the next layer is built after them.
+TESTS: dict[str, dict[str, Callable[[BankModels], DataFrame]]] = {
+    "staging": {
+        "not_null": C.not_null_report,
+        "unique": C.unique_report,
+        "accepted_values": C.accepted_values_report,
+        "accepted_range": C.accepted_range_report,
+        "expression": C.expression_report,
+        "row_count": C.row_count_report,
+    },
+    "intermediate": {
+        "relationships": C.relationships_report,
+        "duplicate_transactions": lambda m: Q.duplicate_transactions(m.int_unified_transactions),
+        "orphan_transactions": lambda m: Q.orphan_transactions(m.int_unified_transactions, m.stg_accounts),
+        "missing_dates": C.missing_dates_report,
+        "calendar_unique_per_date": lambda m: Q.calendar_unique_per_date(m.base_time_dimension),
+    },
+}
+
+
 @dataclass
 class RunResult:
+    root: str = ""
+    run: int | None = None
     tables: dict[str, str] = field(default_factory=dict)
     gates: dict[str, DataFrame] = field(default_factory=dict)
     checks: dict[str, DataFrame] = field(default_factory=dict)
@@ -80,14 +107,18 @@ def run(
     default_start: dt.date = DEFAULT_START,
     ingest_log: DataFrame | None = None,
     fail_on_critical: bool = True,
-    fail_on_error: bool = False,
+    fail_on_error: bool | Collection[str] = False,
     auto_scale: bool = False,
+    keep_runs: int = 2,
 ) -> RunResult:
-    """Build every model into ``out_root/<model>`` and return paths and check frames.
-
-    ``fail_on_critical``: a stale high-frequency table stops the run before it writes. ``fail_on_error``: a data test
-    that reaches severity ``error`` raises after the tables are written; ``warn`` is only reported."""
-    result = RunResult()
+    """Build every model into versioned tables below ``out_root`` and return paths and check frames.
+
+    ``fail_on_critical``: a stale high-frequency table stops the run before it writes. ``fail_on_error``: a data test (any,
+    or those named) with failures of severity ``error`` stops the run before the next layer is built; ``warn`` is only
+    reported. A run that stops publishes nothing and removes what it staged. The versions of the last ``keep_runs`` runs
+    stay (see ``VersionedTables``)."""
+    out = VersionedTables(spark, out_root)
+    result = RunResult(out.root)
     m = BankModels(raw, as_of=as_of, default_start=default_start, auto_scale=auto_scale)
     cats = Q.table_categories(spark)
 
@@ -102,40 +133,46 @@ def run(
         if fail_on_critical and summary.where("severity = 'critical'").limit(1).count() > 0:
             raise RuntimeError("critical validation failed: a high-frequency table is stale")
 
-    # 2. every model once, in build order; consumers start from the written table, without its audit columns
     loaded_at = dt.datetime.now()
-    for name in ORDER:
-        cluster, bloom = LAYOUT[name]
-        path = f"{out_root.rstrip('/')}/{name}"
-        model = _model_frame(m, name)
-        df = with_metadata(model, loaded_at if name in LOADED else None, name in PROCESSED)
-        table = materialize(df, path, cluster_by=cluster, bloom_columns=bloom, split_by=SPLIT_BY.get(name, []))
-        m.replace(name, table.select(*model.columns))
-        result.tables[name] = path
-
-    # 3. data tests; the singular ones read the written tables
-    result.checks = {
-        "not_null": C.not_null_report(m),
-        "unique": C.unique_report(m),
-        "accepted_values": C.accepted_values_report(m),
-        "relationships": C.relationships_report(m),
-        "accepted_range": C.accepted_range_report(m),
-        "expression": C.expression_report(m),
-        "row_count": C.row_count_report(m),
-        "duplicate_transactions": Q.duplicate_transactions(m.int_unified_transactions),
-        "orphan_transactions": Q.orphan_transactions(m.int_unified_transactions, m.stg_accounts),
-        "missing_dates": C.missing_dates_report(m),
-        "calendar_unique_per_date": Q.calendar_unique_per_date(m.base_time_dimension),
-    }
-    if fail_on_error:
-        errors = result.checks["accepted_range"].where("status = 'error'").select("model", "failures").collect()
-        if errors:  # at most one row per bound column
-            raise RuntimeError(f"data tests of severity error failed: {[tuple(r) for r in errors]}")
+
+    def build(names: Iterable[str]) -> None:
+        """Every model once; consumers start from the staged table, without its audit columns."""
+        for name in names:
+            cluster, bloom = LAYOUT[name]
+            model = _model_frame(m, name)
+            df = with_metadata(model, loaded_at if name in LOADED else None, name in PROCESSED)
+            table = out.stage(df, name, cluster_by=cluster, bloom_columns=bloom, split_by=SPLIT_BY.get(name, []))
+            m.replace(name, table.select(*model.columns))
+
+    def test(layer: str) -> None:
+        made = {name: check(m) for name, check in TESTS[layer].items()}
+        result.checks |= made
+        stops = made if fail_on_error is True else {n: d for n, d in made.items() if fail_on_error and n in fail_on_error}
+        if stops:
+            failed = failing_checks(stops).where("severity = 'error' and failures > 0").select("check", "failures").collect()
+            if failed:  # at most one row per check
+                raise RuntimeError(f"data tests of severity error failed: {[tuple(r) for r in failed]}")
+
+    # 2. layer by layer; the tests of a layer before the models that read it
+    try:
+        test("staging")
+        build(ORDER[:2])
+        test("intermediate")
+        build(ORDER[2:])
+    except Exception:
+        out.discard()
+        raise
+    result.run = out.publish()
+    out.vacuum(keep_runs)
+    result.tables = {name: f"{out.root}/{name}" for name in ORDER}
     return result
 
 
-def failing_checks(result: RunResult) -> DataFrame:
+def failing_checks(checks: RunResult | Mapping[str, DataFrame]) -> DataFrame:
     """One row per check and severity with its failure count (drives an alert, like the DAG's summary)."""
+    if isinstance(checks, RunResult):
+        checks = checks.checks
+
     def count_of(name: str, df: DataFrame) -> DataFrame:
         severity = F.col("status") if "status" in df.columns else F.lit("error")
         if "failures" in df.columns:
@@ -154,4 +191,4 @@ def failing_checks(result: RunResult) -> DataFrame:
             F.lit(name).alias("check"), severity.alias("severity"), "failures"
         )
 
-    return Q.union_all(count_of(n, df) for n, df in result.checks.items())
+    return Q.union_all(count_of(n, df) for n, df in checks.items())

@@ -1,4 +1,4 @@
-"""Table materialization: full-rebuild overwrite with a clustered layout.
+"""Table materialization: full rebuilds as new versions, published when complete (``versions.py``).
 
 ``cluster_by`` becomes a range partitioning plus a sort within each file, so
 Parquet min/max statistics skip row groups for filters on those keys;
@@ -11,12 +11,12 @@ recomputing from the sources.
 from __future__ import annotations
 
 import datetime as dt
-import uuid
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.sources.versions import VersionedTables
+
 
 def with_metadata(df: DataFrame, loaded_at: dt.datetime | None = None, processed: bool = False) -> DataFrame:
     """Append the audit columns: ``_loaded_at`` (the given load time) and ``_processed_at`` (now)."""
@@ -28,64 +28,25 @@ def with_metadata(df: DataFrame, loaded_at: dt.datetime | None = None, processed
     return df.select(*cols)
 
 
-def materialize(
-    df: DataFrame,
-    path: str,
-    cluster_by: Sequence[str] = (),
-    bloom_columns: Sequence[str] = (),
-    split_by: Sequence[str] = (),
-    partition_by: Sequence[str] = (),
-    files_per_write: int | None = None,
-    max_records_per_file: int = 5_000_000,
-) -> DataFrame:
-    """Replace the table at ``path`` by ``df`` and return it read back.
-
-    The new files are written beside the old table, which is swapped for them only when they are complete: a failed
-    write leaves the old table as it was.
+def materialize(df: DataFrame, path: str, keep_runs: int = 2, **layout) -> DataFrame:
+    """Rebuild the table at ``path`` (its parent folder is the tables' root) and return it read back.
 
-    ``max_records_per_file`` bounds file size whatever the partition sizes are
-    (a large range partition is written as several files, each still sorted).
-    ``split_by`` adds a unique tie-break to the range keys, so one hot
-    cluster-key value (say an account holding a third of all rows) is cut
-    across many tasks instead of landing in one; files stay sorted by the
-    cluster keys first.
+    The new version is published when it is complete: until then, and after a failed write, readers have the old one.
+    The versions of the last ``keep_runs`` publishes of the root stay readable. ``layout``: see ``VersionedTables.stage``.
     """
-    out = df
-    if cluster_by:
-        keys = [*cluster_by, *split_by]
-        out = out.repartitionByRange(files_per_write, *keys) if files_per_write else out.repartitionByRange(*keys)
-        out = out.sortWithinPartitions(*keys)
-    writer = out.write.option("maxRecordsPerFile", max_records_per_file)
-    for c in bloom_columns:
-        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    spark = df.sparkSession
-    new = f"{path.rstrip('/')}__new_{uuid.uuid4().hex}"
-    try:
-        writer.parquet(new)
-    except Exception:
-        _delete(spark, new)
-        raise
-    _swap(spark, new, path)
-    return spark.read.parquet(path)
+    tables, name = _table(df.sparkSession, path)
+    tables.stage(df, name, **layout)
+    tables.publish()
+    tables.vacuum(keep_runs)
+    return tables.read(name)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+def read_table(spark: SparkSession, path: str, run: int | None = None) -> DataFrame:
+    """The published table at ``path``, as of ``run`` (default: the latest)."""
+    tables, name = _table(spark, path)
+    return tables.read(name, run)
 
 
-def _swap(spark: SparkSession, new: str, path: str) -> None:
-    """Move ``new`` to ``path``; the table that was there goes last."""
-    jvm = spark._jvm
-    target, source = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(new)
-    old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}__old_{uuid.uuid4().hex}")
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    had = fs.exists(target)
-    if had and not fs.rename(target, old):
-        raise OSError(f"can't move {path} aside")
-    if not fs.rename(source, target):
-        raise OSError(f"can't move {new} to {path}")
-    if had:
-        fs.delete(old, True)
+def _table(spark: SparkSession, path: str) -> tuple[VersionedTables, str]:
+    root, _, name = path.rstrip("/").rpartition("/")
+    return VersionedTables(spark, root), name

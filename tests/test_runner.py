@@ -7,7 +7,8 @@ from pyspark.sql import Window
 from ledgerline.plans import runner
 from ledgerline.plans.catalog import QUERIES
 from ledgerline.sources.adapter import RawTables
-from ledgerline.sources.sink import materialize
+from ledgerline.sources.sink import materialize, read_table
+from ledgerline.sources.versions import ConcurrentPublish, VersionedTables
 from tests.compare import rows_digest
 
 SF = "/root/testdata/sf0.001"
@@ -19,7 +20,7 @@ def test_run_writes_every_model_equal_to_lazy_queries(spark):
     result = runner.run(spark, RawTables(spark, SF), out)
     assert set(result.tables) == set(runner.LAYOUT)
     for name in ["report_monthly_business_kpi", "fct_account_monthly_balances", "dim_account", "int_transactions_summary"]:
-        written = spark.read.parquet(result.tables[name])
+        written = read_table(spark, result.tables[name])
         lazy = QUERIES[name](spark, SF)
         cols = lazy.columns
         assert set(cols) <= set(written.columns)
@@ -38,13 +39,13 @@ def test_transfers_keep_every_line(spark):
 def test_each_model_is_built_once_and_read_back(spark, monkeypatch):
     """A consumer's plan reads the written tables, never the driver's facts again."""
     plans = {}
-    real = runner.materialize
+    real = VersionedTables.stage
 
-    def spy(df, path, **kw):
-        plans[os.path.basename(path)] = df._jdf.queryExecution().optimizedPlan().toString()
-        return real(df, path, **kw)
+    def spy(self, df, table, **kw):
+        plans[table] = df._jdf.queryExecution().optimizedPlan().toString()
+        return real(self, df, table, **kw)
 
-    monkeypatch.setattr(runner, "materialize", spy)
+    monkeypatch.setattr(VersionedTables, "stage", spy)
     runner.run(spark, RawTables(spark, SF), tempfile.mkdtemp(prefix="ll-once-"))
     assert set(plans) == set(runner.LAYOUT)
     facts = [name for name, plan in plans.items() if "l_orderkey" in plan]
@@ -56,11 +57,96 @@ def test_failed_write_keeps_the_old_table(spark):
 
     path = tempfile.mkdtemp(prefix="ll-keep-") + "/t"
     assert materialize(spark.range(5).toDF("k"), path, cluster_by=["k"]).count() == 5
+    before = read_table(spark, path)
     bad = spark.range(5).select(F.raise_error(F.lit("broken")).cast("long").alias("k"))
     with pytest.raises(Exception):
         materialize(bad, path)
-    assert spark.read.parquet(path).count() == 5
-    assert materialize(spark.range(7).toDF("k"), path).count() == 7 and os.listdir(os.path.dirname(path)) == ["t"]
+    assert read_table(spark, path).count() == 5 and len(os.listdir(f"{os.path.dirname(path)}/data/t")) == 1
+    assert materialize(spark.range(7).toDF("k"), path).count() == 7
+    assert before.count() == 5 and read_table(spark, path, run=1).count() == 5  # readers of the old version go on
+    assert materialize(spark.range(9).toDF("k"), path).count() == 9
+    assert len(os.listdir(f"{os.path.dirname(path)}/data/t")) == 2  # the last two runs' versions
+
+
+def test_publish_switches_all_tables_at_once(spark, monkeypatch):
+    root = tempfile.mkdtemp(prefix="ll-versions-")
+    w = VersionedTables(spark, root)
+    with pytest.raises(FileNotFoundError):
+        w.read("a")
+    with pytest.raises(ValueError):
+        w.publish()
+    for t in "ab":
+        w.stage(spark.range(3), t)
+    with pytest.raises(FileNotFoundError):
+        VersionedTables(spark, root).read("a")  # staged is not published
+    assert w.read_staged("a").count() == 3 and w.publish("first") == 1
+    w.stage(spark.range(4), "a")
+
+    # a reader at every moment of the second publish: the old tables until the log file is there
+    seen = []
+    real = VersionedTables._append
+
+    def watched(self, versions, note):
+        other = VersionedTables(spark, root)
+        seen.append([other.read(t).count() for t in "ab"])
+        run = real(self, versions, note)
+        seen.append([other.read(t).count() for t in "ab"])
+        return run
+
+    monkeypatch.setattr(VersionedTables, "_append", watched)
+    w.stage(spark.range(5), "b")
+    assert w.publish() == 2 and seen == [[3, 3], [4, 5]]
+
+    # a failure before the log file appears loses and switches nothing
+    def fails(self, versions, note):
+        raise OSError("store is away")
+
+    monkeypatch.setattr(VersionedTables, "_append", fails)
+    w.stage(spark.range(6), "a")
+    with pytest.raises(OSError):
+        w.publish()
+    monkeypatch.setattr(VersionedTables, "_append", real)
+    other = VersionedTables(spark, root)
+    assert [other.read(t).count() for t in "ab"] == [4, 5]
+    assert w.publish() == 3 and other.read("a").count() == 6  # still staged: the publish can be repeated
+
+    assert w.rollback(1) == 4 and [other.read(t).count() for t in "ab"] == [3, 3]
+    assert w.rollback(3, ["a"]) == 5 and [other.read(t).count() for t in "ab"] == [6, 3]
+    assert other.read("a", run=2).count() == 4
+    gone = w.vacuum(keep_runs=1)
+    assert len(gone) == 3 and [other.read(t).count() for t in "ab"] == [6, 3]
+    assert w.vacuum(keep_runs=1) == []
+    assert [(r.run, r.table_name) for r in w.history().orderBy("run", "table_name").collect()] == [(1, "a"), (1, "b"), (2, "a"), (2, "b"), (3, "a"), (4, "a"), (4, "b"), (5, "a")]
+    w.stage(spark.range(1), "a")
+    w.discard()
+    assert w.staged == {} and len(os.listdir(f"{root}/data/a")) == 1
+
+
+def test_two_writers_are_told_apart(spark, monkeypatch):
+    """Both publish run 1: one counts for every reader, the other is told."""
+    root = tempfile.mkdtemp(prefix="ll-rivals-")
+    a, b = VersionedTables(spark, root), VersionedTables(spark, root)
+    a.stage(spark.range(1), "t")
+    b.stage(spark.range(2), "t")
+    real, first = VersionedTables.history, []
+
+    def late(self):
+        """b reads the history before a has published."""
+        if self is b and not first:
+            rows = real(self)
+            first.append(1)
+            a.publish()
+            return rows
+        return real(self)
+
+    monkeypatch.setattr(VersionedTables, "history", late)
+    try:
+        b.publish()
+        told = False
+    except ConcurrentPublish:
+        told = True
+    assert sorted(r.run for r in real(a).collect()) == [1, 1]
+    assert VersionedTables(spark, root).read("t").count() == (1 if told else 2)
 
 
 @pytest.mark.parametrize(("bad", "raises"), [(50, False), (51, True)])
@@ -79,41 +165,59 @@ def test_error_severity_raises(spark, bad, raises):
     out = tempfile.mkdtemp(prefix="ll-sev-")
     if raises:
         with pytest.raises(RuntimeError, match="severity error"):
-            runner.run(spark, Raw(spark, SF), out, fail_on_error=True)
+            runner.run(spark, Raw(spark, SF), out, fail_on_error=["accepted_range"])
+        assert os.listdir(out) == []  # stopped before the first model
     else:
-        result = runner.run(spark, Raw(spark, SF), out, fail_on_error=True)
+        result = runner.run(spark, Raw(spark, SF), out, fail_on_error=["accepted_range"])
         assert {r.severity for r in runner.failing_checks(result).where("check = 'accepted_range'").collect()} == {"warn"}
 
 
+def test_a_failing_layer_publishes_nothing(spark):
+    """The test data repeats transaction ids: that test guards the marts, and the tables of the last run stay."""
+    out = tempfile.mkdtemp(prefix="ll-gate-")
+    before = runner.run(spark, RawTables(spark, SF), out, as_of=runner.AS_OF)
+    rows = read_table(spark, before.tables["dim_account"]).count()
+    with pytest.raises(RuntimeError, match="duplicate_transactions"):
+        runner.run(spark, RawTables(spark, SF), out, fail_on_error=["duplicate_transactions"])
+    tables = VersionedTables(spark, out)
+    assert tables.history().agg({"run": "max"}).first()[0] == before.run == 1
+    assert read_table(spark, before.tables["dim_account"]).count() == rows
+    assert {len(os.listdir(f"{out}/data/{t}")) for t in runner.ORDER} == {1}  # what was staged is gone
+    with pytest.raises(RuntimeError, match="not_null|unique"):
+        runner.run(spark, RawTables(spark, SF), tempfile.mkdtemp(prefix="ll-gate2-"), fail_on_error=True)
+
+
 def test_layout_of_written_files(spark):
     """Files hold ranges of the cluster key in order; point-lookup columns get bloom filters; more rows, more files."""
     import pyarrow.parquet as pq
 
-    def files(path):
+    out = tempfile.mkdtemp(prefix="ll-layout-")
+
+    def files(table):
+        path = VersionedTables(spark, out).resolve(table)
         return [f"{path}/{f}" for f in sorted(os.listdir(path)) if f.endswith(".parquet")]
 
-    out = tempfile.mkdtemp(prefix="ll-layout-")
     assert "account_id" in runner.LAYOUT["fct_transactions"][1] and "transaction_type" in runner.LAYOUT["int_unified_transactions"][1]
     df = spark.range(200_000).selectExpr("id * 7919 % 1000003 AS account_id", "id AS transaction_id")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        materialize(df, f"{out}/a", cluster_by=["account_id"], bloom_columns=["account_id"], split_by=["transaction_id"])
-        materialize(df, f"{out}/b", cluster_by=["account_id"], split_by=["transaction_id"])
+        materialize(df, f"{out}/a", keep_runs=9, cluster_by=["account_id"], bloom_columns=["account_id"], split_by=["transaction_id"])
+        materialize(df, f"{out}/b", keep_runs=9, cluster_by=["account_id"], split_by=["transaction_id"])
         hot = df.selectExpr("1 AS account_id", "transaction_id")
-        materialize(hot, f"{out}/hot", cluster_by=["account_id"], split_by=["transaction_id"])
+        materialize(hot, f"{out}/hot", keep_runs=9, cluster_by=["account_id"], split_by=["transaction_id"])
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     last, ranges = None, []
-    for f in files(f"{out}/a"):
+    for f in files("a"):
         stats = [pq.ParquetFile(f).metadata.row_group(g).column(0).statistics for g in range(pq.ParquetFile(f).metadata.num_row_groups)]
         ranges.append((min(x.min for x in stats), max(x.max for x in stats)))
         keys = pq.read_table(f, columns=["account_id"])["account_id"].to_pylist()
         assert keys == sorted(keys) and (last is None or keys[0] >= last)
         last = keys[-1]
     assert len(ranges) > 4 and all(hi <= lo for (_, hi), (lo, _) in zip(ranges, ranges[1:]))
-    size = lambda d: sum(map(os.path.getsize, files(f"{out}/{d}")))
+    size = lambda d: sum(map(os.path.getsize, files(d)))
     assert size("a") > 1.1 * size("b")  # the filters
-    rows = [pq.ParquetFile(f).metadata.num_rows for f in files(f"{out}/hot")]
+    rows = [pq.ParquetFile(f).metadata.num_rows for f in files("hot")]
     assert len(rows) > 4 and max(rows) < 60_000  # one key is cut across tasks
 
 
@@ -157,7 +261,7 @@ def test_csv_landing_run_with_freshness_gate(spark):
     out = tempfile.mkdtemp(prefix="ll-run-csv-")
     result = runner.run(spark, scanned, out, ingest_log=log)   # files were just written: the gate passes
     assert {r.severity for r in result.gates["freshness"].collect()} == {"ok"}
-    kpi = spark.read.parquet(result.tables["report_monthly_business_kpi"])
+    kpi = read_table(spark, result.tables["report_monthly_business_kpi"])
     lazy = QUERIES["report_monthly_business_kpi"](spark, SF)
     cols = lazy.columns
     assert rows_digest(cols, [tuple(r) for r in kpi.select(*cols).collect()]) == rows_digest(cols, [tuple(r) for r in lazy.collect()])
