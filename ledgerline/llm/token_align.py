@@ -26,6 +26,8 @@ from itertools import chain
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm.tokens import byte_alphabet, merge_ranks
+
 MAX_REMEMBERED, MAX_PIECE = 250_000, 48
 #: Characters of a text that are taken at once; a longer text is cut at the next border.
 RUN = 1 << 20
@@ -47,13 +49,6 @@ DIFFERS = (-1, "", ())
 _LOADED: dict[tuple, Aligner] = {}
 
 
-def byte_alphabet() -> dict[str, int]:
-    """Byte-level alphabet: printable Latin-1 characters stand for themselves, the other bytes for U+0100 onwards."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 def token_bytes(path: str) -> list[bytes]:
     """Bytes of every id of a tokenizer file: byte-level ``.json`` or sentencepiece ``.model``."""
     if path.endswith(".model"):
@@ -96,20 +91,6 @@ def cuts_surely(path_a: str, path_b: str) -> bool:
     return bool(plain and proto.trainer_spec.model_type == 2 and not user_defined and not any(map(crosses.search, usual)))
 
 
-def merge_ranks(path: str) -> dict[bytes, int] | None:
-    """The vocabulary of a byte-level file as byte strings with ranks, if its ids are in the order of its merges."""
-    with open(path, encoding="utf-8") as f:
-        model = json.load(f)["model"]
-    if model.get("type") != "BPE" or any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")):
-        return None
-    vocab = model["vocab"]
-    joined = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
-    if [vocab.get(t) for t in joined] != list(range(256, 256 + len(joined))) or len(vocab) != 256 + len(joined):
-        return None
-    alphabet = byte_alphabet()
-    return {bytes(map(alphabet.__getitem__, t)): i for t, i in vocab.items()}
-
-
 def terminals(ends_a, ends_b):
     """For tokens of A and B that cover the same bytes (their ends, ascending): each token's terminal token, as an index
     into the B tokens. The terminal of a component is its last B token."""

@@ -52,7 +52,7 @@ def test_encoder_forgets_within_bounds(monkeypatch):
     monkeypatch.setattr(tokens, "MAX_REMEMBERED", 5)
     enc = tokens.Encoder(tokenizer_path(), 64)
     assert [ids(x) for x in enc.encode([t.encode() for t in NASTY])] == exact(NASTY)
-    assert len(enc._known) <= 5
+    assert len(enc._known) <= 5 and len(enc._pieces) <= 2
 
 
 @settings(max_examples=300, deadline=None)
@@ -63,6 +63,66 @@ def test_encoder_equals_library_on_any_text(text):
     assert [ids(x) for x in encoder(tokenizer_path()).encode([text.encode("utf-8", "replace")])] == exact([text.encode("utf-8", "replace").decode()])
 
 
+PLAIN = st.text(st.characters(max_codepoint=0x17F), max_size=60) | st.lists(
+    st.sampled_from(["don't", "it''s", "'S", "'ll", "x'd", "A1b22", "--", "...", "<|endoftext|>", "<|", "a", "_", "\x1c", "\x00", "Hello", "zzzzqq", "ÉTÉ", "größe", "ß", "ÿ×÷", "naïve", "Ñ²", "µª", "e\u0301", "İ", "\x80"]), max_size=8
+).map("".join)
+
+
+@settings(max_examples=500, deadline=None)
+@given(PLAIN)
+def test_merged_words_equal_the_library(text):
+    from ledgerline.llm.tokens import encoder
+
+    own = encoder(tokenizer_path())
+    assert own._merge is not None and [ids(x) for x in own.encode([text.encode()])] == exact([text])
+
+
+def changed(tmp_path, change):
+    import json
+
+    with open(tokenizer_path(), encoding="utf-8") as f:
+        spec = json.load(f)
+    change(spec)
+    path = tmp_path / "changed.json"
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    return str(path)
+
+
+def spaced(spec):
+    spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = r"\s*[\p{L}]+|[^\s\p{L}]+"
+
+
+def stripping(spec):
+    spec["added_tokens"][0]["lstrip"] = True
+
+
+def accents(spec):
+    spec["normalizer"]["normalizers"].append({"type": "StripAccents"})
+
+
+def cased(spec):
+    spec["normalizer"]["normalizers"].pop()
+
+
+def shuffled(spec):
+    spec["model"]["merges"][5], spec["model"]["merges"][900] = spec["model"]["merges"][900], spec["model"]["merges"][5]
+
+
+@pytest.mark.parametrize(("change", "by_word", "merges"), [(spaced, False, False), (stripping, False, False), (accents, False, False), (cased, True, True), (shuffled, True, False)])
+def test_rules_are_read_from_the_file(tmp_path, change, by_word, merges):
+    """A file that is changed in any part is encoded as the library does: word by word only where that part allows it."""
+    from tokenizers import Tokenizer
+
+    from ledgerline.llm.tokens import Encoder
+
+    path = changed(tmp_path, change)
+    own, lib = Encoder(path, 64), Tokenizer.from_file(path)
+    assert own.by_word is by_word and (own._merge is not None) is merges
+    for _, text in enumerate(NASTY + ["It's  THE a\tb  12 <|startoftext|> x"]):
+        if by_word or len(text) <= 64:
+            assert ids(own.encode([text.encode()])[0]) == lib.encode(text, add_special_tokens=False).ids, text[:40]
+
+
 def test_sentencepiece_counts():
     import sentencepiece
 
