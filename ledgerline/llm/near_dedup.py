@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import stored
@@ -30,7 +30,7 @@ ROUND, ZEROS, MANTISSA = 3, 5, 8
 MAX_GROUP = 512
 #: Classes in a verification block: the least, and the most beyond SPREAD blocks.
 SMALL_BLOCK, LARGE_BLOCK, SPREAD = 256, 1024, 48
-SKETCHED = "doc_id long, n_shingles long, digest binary, sketch binary, bands array<long>"
+SKETCHED = "doc_id long, tag long, n_shingles long, digest binary, sketch binary, bands array<long>"
 
 _WORDS: dict[bytes, int] = {}
 
@@ -112,8 +112,8 @@ def estimate(equal, n, m):
     return np.clip((np.asarray(equal) / BUCKETS - c) / (1 - c), 0, 1)
 
 
-def sketches(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
-    """One row per document: set size, digest of the set, sketch, band keys."""
+def sketches(docs: DataFrame, words: int, id_col: str, text_col: str, tag: Column) -> DataFrame:
+    """One row per document: tag, set size, digest of the set, sketch, band keys."""
 
     def make(batches: Iterator) -> Iterator:
         import hashlib
@@ -139,11 +139,11 @@ def sketches(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFra
                     raw.append(registers.tobytes())
                     keys.append(band.view(np.int64) if len(hashes) else None)
                 yield pa.RecordBatch.from_arrays(
-                    [some.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(raw, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                    ["doc_id", "n_shingles", "digest", "sketch", "bands"],
+                    [some.column(0).cast(pa.int64()), some.column(2), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(raw, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                    ["doc_id", "tag", "n_shingles", "digest", "sketch", "bands"],
                 )
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(make, SKETCHED)
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col), tag.cast("long").alias("tag")).mapInArrow(make, SKETCHED)
 
 
 def forest(n: int, linked) -> list[tuple[int, int]]:
@@ -282,9 +282,10 @@ def verified_edges(docs: DataFrame, members: DataFrame, words: int, percent: int
     return runs.mapInArrow(verify, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", tag: Column | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest id reachable over links, itself
-    included), kept (it is that id). Two texts link if 100 * |intersection| >= percent * |union| of their shingle sets.
+    included), kept (it is that id); with ``tag`` (a long over ``docs``, such as a hash of the text) that column too, to
+    find a row again where ids repeat. Two texts link if 100 * |intersection| >= percent * |union| of their shingle sets.
 
     ``percent`` is 80 or more: the bands are made for that. Null and empty texts have an empty set and link with
     nothing. Repeated ids: each row follows its own text, and texts whose smallest id is the same count as linked. Null
@@ -292,7 +293,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     """
     if percent < 80:
         raise ValueError("the bands find similarities of 0.8 or more")
-    made = stored(sketches(docs, words, id_col, text_col), "sketches")
+    made = stored(sketches(docs, words, id_col, text_col, F.lit(None) if tag is None else tag), "sketches")
     some = made.where("n_shingles > 0 and doc_id is not null")
     # a class: documents with equal sets; the smallest stands for all (aggregated map-side, so copies don't gather)
     classes = some.groupBy("digest").agg(F.min(F.struct("doc_id", "n_shingles", "sketch", "bands")).alias("c")).select("digest", "c.*")
@@ -303,5 +304,6 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     of_class = of_class.select("digest", F.coalesce("component", "first").alias("component_id"))
     found = made.join(of_class, "digest", "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    out = found.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id"))
+    tags = [] if tag is None else ["tag"]
+    out = found.select("doc_id", *tags, "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

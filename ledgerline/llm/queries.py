@@ -54,7 +54,7 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     sizes = m.sized(table(spark, sf_dir, "documents"))
     goals = m.targets(sizes, MIX_WEIGHTS, MIX_EPOCHS)
-    return m.taken_words(sizes, goals, m.mix_sources(sizes, goals, MIX_SHARDS))
+    return m.taken_words(sizes, goals, m.write_shards(m.mix_sources(sizes, goals, MIX_SHARDS)))
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,8 +200,8 @@ ORACLE: dict[str, str] = {
             SELECT doc_id, words, quota - coalesce(sum(words) OVER (PARTITION BY source ORDER BY e, substr(md5(concat_ws('/', 'mix', e, doc_id, b)), 1, 15), doc_id, b
                                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS room
             FROM b
-        ), u AS (SELECT doc_id, sum(greatest(0, least(words, room))) AS taken FROM t GROUP BY doc_id)
-        SELECT d.doc_id, d.size, g.source_size, g.target, CAST(coalesce(u.taken, 0) AS BIGINT) AS taken
+        ), u AS (SELECT doc_id, sum(greatest(0, least(words, room))) AS taken, count(*) FILTER (room > 0) AS blocks FROM t GROUP BY doc_id)
+        SELECT d.doc_id, d.size, g.source_size, g.target, CAST(coalesce(u.taken, 0) AS BIGINT) AS taken, coalesce(u.blocks, 0) AS blocks
         FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source LEFT JOIN u ON u.doc_id = d.doc_id
     """,
     "op4_quality_rules": r"""

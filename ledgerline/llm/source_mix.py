@@ -3,13 +3,14 @@
 1. Sources share the total number of words by weight; a target stops at ``max_epochs`` times its source's size and the
    excess goes to the others by weight. That is the water level ``l`` with ``sum(min(cap, weight * l)) = total``.
 2. Every document is cut into blocks of at most ``block_words`` words. Each source's blocks are put in a random order
-   (by hash) once per epoch; the source draws blocks in that order until its target is met, so whole epochs come first
-   and the last block drawn may be taken in part. Places in that order come from prefix sums over hash buckets of
-   bounded size, so no source, however large, is sorted in one task.
-3. The exact number of drawn blocks of each source is split among the output shards by a tree: each node halves its
-   capacity and draws the sources' parts from the multivariate hypergeometric distribution (as a random permutation of
-   all blocks would), source by source, by inversion of the exact hypergeometric probabilities.
-4. Each shard takes its disjoint interval of every source's permuted blocks and shuffles it locally by another hash.
+   (by hash) once per epoch, whole epochs first. Places in that order come from prefix sums over hash buckets of bounded
+   size, so no source, however large, is sorted in one task. A source's quota is the number of blocks that reach its
+   target; the last one may be taken in part.
+3. The exact block quotas are split among the output shards by a tree: each node halves its capacity and draws the
+   sources' parts from the multivariate hypergeometric distribution (as a random permutation of all blocks would),
+   source by source, by inversion of the exact hypergeometric probabilities.
+4. Each shard draws what its leaf says: its disjoint interval of every source's permuted blocks. A block in no leaf's
+   interval isn't drawn. The shards are written (``write_shards``), each shuffled locally by another hash.
 """
 
 from __future__ import annotations
@@ -60,8 +61,9 @@ def targets(sizes: DataFrame, weights: list[float], max_epochs: float = 3.0) ->
     return first.select("source", "sid", "source_size", target.alias("target"))
 
 
-def draws(sizes: DataFrame, goals: DataFrame, block_words: int = 512, seed: str = "mix") -> DataFrame:
-    """Drawn blocks: sid, rank (0, 1, ... in the source's order, over all epochs), row_id, doc_id, epoch, block, words."""
+def permuted_blocks(sizes: DataFrame, goals: DataFrame, block_words: int = 512, seed: str = "mix") -> DataFrame:
+    """Every block of the epochs that a source's target reaches into: sid, rank (0, 1, ... in the source's order, over
+    all epochs), row_id, doc_id, epoch, block, words, open (words of the target that the blocks before leave open)."""
     w = F.lit(block_words).cast("long")
     # the sources' numbers meet in a table of sources first; documents join it once
     per_source = sizes.groupBy(F.col("source").alias("block_source")).agg(F.sum(F.ceil(F.col("size") / w)).alias("blocks"))
@@ -84,8 +86,8 @@ def draws(sizes: DataFrame, goals: DataFrame, block_words: int = 512, seed: str
     inside = Window.partitionBy(*group).orderBy("key", "row_id", "block").rowsBetween(_ALL, -1)
     placed = keyed.withColumns({"before": F.coalesce(F.sum("words").over(inside), F.lit(0)), "number": F.count("*").over(inside)}).join(bases, group)
     start = F.col("base_words") + F.col("before")
-    taken = F.least(F.col("words"), F.col("quota") - start)
-    return placed.where(start < F.col("quota")).select("sid", (F.col("base_blocks") + F.col("number")).alias("rank"), "row_id", "doc_id", "epoch", "block", taken.alias("words"))
+    rank = (F.col("base_blocks") + F.col("number")).alias("rank")
+    return placed.select("sid", rank, "row_id", "doc_id", "epoch", "block", "words", (F.col("quota") - start).alias("open"))
 
 
 def hypergeometric(N: Column, K: Column, n: Column, u: Column) -> Column:
@@ -170,32 +172,45 @@ def mix_sources(sizes: DataFrame, goals: DataFrame, shards: int = 16, block_word
     """
     if shards < 1 or shards & (shards - 1):
         raise ValueError("shards must be a power of two")
-    drawn = stored(draws(sizes, goals, block_words, seed), "draws")
-    quotas = drawn.groupBy("sid").agg(F.count("*").alias("n"))
-    parts = stored(splitting_tree(quotas, shards, seed), "tree")
-    ends = parts.withColumn("end", F.sum("n").over(Window.partitionBy("sid").orderBy("shard")))
-    per_source = ends.groupBy("sid").agg(F.sort_array(F.collect_list("end")).alias("ends"))  # ``shards`` numbers each
-    shard = F.size(F.filter("ends", lambda e: e <= F.col("rank")))
+    blocks = stored(permuted_blocks(sizes, goals, block_words, seed), "permuted")
+    quotas = blocks.where("open > 0").groupBy("sid").agg(F.count("*").alias("n"))
+    leaves = stored(splitting_tree(quotas, shards, seed), "tree")
+    ends = leaves.withColumn("end", F.sum("n").over(Window.partitionBy("sid").orderBy("shard")))
+    per_source = ends.where("n > 0").groupBy("sid").agg(F.sort_array(F.collect_list(F.struct("end", "shard"))).alias("ends"))  # ``shards`` at most
+    # the leaves' intervals decide what is drawn, and by which shard
+    shard = F.get(F.filter("ends", lambda e: e["end"] > F.col("rank")), F.lit(0))["shard"]
     place = F.xxhash64(F.lit(seed), F.lit("place"), "row_id", "epoch", "block")
-    return drawn.join(per_source, "sid").select(shard.alias("shard"), place.alias("place"), "sid", "row_id", "doc_id", "epoch", "block", "words")
+    drawn = blocks.join(per_source, "sid").withColumn("shard", shard).where("shard is not null")
+    words = F.least(F.col("words"), F.col("open")).alias("words")
+    return drawn.select("shard", place.alias("place"), "sid", "row_id", "doc_id", "epoch", "block", words)
+
+
+def write_shards(mix: DataFrame, name: str = "shards") -> DataFrame:
+    """Write the shards below the shared folder and read them back: ranges of (shard, place), sorted, so a shard is a run
+    of files and its rows are in their shuffled order, however large it is."""
+    order = ["shard", "place", "row_id", "epoch", "block"]
+    return stored(mix.repartitionByRange(*order).sortWithinPartitions(*order), name)
 
 
 def taken_words(sizes: DataFrame, goals: DataFrame, mix: DataFrame) -> DataFrame:
-    """One row per document row: doc_id, size, source_size, target, taken (words the mix takes, repeats counted)."""
-    taken = mix.groupBy("row_id").agg(F.sum("words").alias("taken"))
+    """One row per document row: doc_id, size, source_size, target, taken (words the shards hold of it, repeats counted),
+    blocks (places it has in the shards)."""
+    of_shard = mix.groupBy("row_id", "shard").agg(F.sum("words").alias("words"), F.count("place").alias("places"))
+    taken = of_shard.groupBy("row_id").agg(F.sum("words").alias("taken"), F.sum("places").alias("blocks"))
     goal = goals.select(F.col("source").alias("goal_source"), "source_size", "target")
     rows = sizes.join(goal, F.col("source").eqNullSafe(F.col("goal_source"))).join(taken, "row_id", "left")
-    return rows.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
+    number = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
+    return rows.select("doc_id", "size", "source_size", "target", number("taken"), number("blocks"))
 
 
 def mixed_documents(docs: DataFrame, weights: list[float], max_epochs: float = 3.0, shards: int = 16, seed: str = "mix") -> DataFrame:
     """``docs`` (doc_id, source, text and any other columns) with every document as often as the mix draws it.
 
     Documents are blocks of their own here, so each is drawn whole; a source exceeds its target by less than one
-    document. Rows equal in id and text count as one document: each is given out as often as that one. Documents
+    document. Rows equal in id, text and source count as one document: each is given out as often as that one. Documents
     without words are never drawn.
     """
-    key = F.xxhash64("doc_id", "text")
+    key = F.xxhash64("doc_id", "text", "source")
     sizes = stored(sized(docs, row_id=key).dropDuplicates(["row_id"]), "documents_sized")
     drawn = mix_sources(sizes, targets(sizes, weights, max_epochs), shards, 1 << 30, seed)
     copies = drawn.groupBy("row_id").agg(F.count("*").cast("int").alias("copies")).select(F.col("row_id").alias("key__"), "copies")

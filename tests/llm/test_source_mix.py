@@ -76,6 +76,44 @@ def test_shards_and_blocks(spark):
         assert share.min() > 0.04 and share.max() < 0.25  # every source is spread over all shards
 
 
+def test_the_tree_decides(spark, monkeypatch):
+    """What is taken is the sum over the shards' blocks: other leaves, other documents. Shards are disjoint, written in
+    their shuffled order, and each holds exactly what its leaf says of every source."""
+    rows = [(i, "w " * (1 + i * 7 % 90), "abc"[i % 3]) for i in range(300)]
+    docs = spark.createDataFrame([(*r, "clash", 1) for r in rows], SCHEMA)
+    sizes = m.sized(docs)
+    goals = m.targets(sizes, [1, 20, 3])
+    real, leaves = m.splitting_tree, []
+
+    def seen(*args):
+        made = real(*args).cache()
+        leaves.append(sorted(map(tuple, made.collect())))
+        return made
+
+    monkeypatch.setattr(m, "splitting_tree", seen)
+    shards = m.write_shards(m.mix_sources(sizes, goals, 8, 16))
+    mix = shards.collect()
+    held = defaultdict(int)
+    for r in mix:
+        held[r.sid, r.shard] += 1
+    assert sorted((s, k, n) for (s, k), n in held.items()) == [x for x in leaves[0] if x[2]]
+    for r in m.taken_words(sizes, goals, shards).collect():
+        own = [x for x in mix if x.doc_id == r.doc_id]
+        assert r.taken == sum(x.words for x in own) and r.blocks == len({(x.shard, x.place) for x in own}) == len(own)
+    for part in shards.rdd.glom().collect():
+        places = [(r.shard, r.place) for r in part]
+        assert places == sorted(places)
+    order = [r.row_id for r in sorted(mix, key=lambda r: (r.shard, r.place)) if r.shard == 0]
+    assert order != sorted(order) and len({x.sid for x in mix if x.shard == 0}) == 3
+
+    def empty_right_half(quotas, shards, seed):
+        return real(quotas, shards, seed).where(F.col("shard") < shards // 2)
+
+    monkeypatch.setattr(m, "splitting_tree", empty_right_half)
+    half = m.mix_sources(sizes, goals, 8, 16).collect()
+    assert 0.3 * len(mix) < len(half) < 0.7 * len(mix) and {r.shard for r in half} == set(range(4))
+
+
 def test_edges(spark):
     rows = [(1, None, "a"), (2, "", "b"), (3, "one two", "a"), (4, "three " * 2000, None), (5, " \t\n", None), (6, "x y z", "empty?"), (7, "same", "a"), (8, "nbsp joins", "c")]
     docs = spark.createDataFrame([(*r, "clash", 1) for r in rows], SCHEMA)
@@ -107,3 +145,12 @@ def test_hypergeometric_distribution(spark):
 def test_plan_is_native(spark):
     plan = op2_source_mix(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Nested" not in plan
+    assert "shard" in plan and "place" in plan  # the result is read from the shards
+
+
+def test_one_text_under_two_sources(spark):
+    """Each source's document counts for its own source; none is dropped or moved to the other."""
+    text = "a text of seven words in all"
+    docs = spark.createDataFrame([(1, text, "a", "", 0), (1, text, "b", "", 0), (2, text, "a", "", 0), (2, text + " more", "b", "", 0)], SCHEMA)
+    got = m.mixed_documents(docs, [1, 1])
+    assert got.columns == docs.columns and sorted((r.doc_id, r.source) for r in got.collect()) == [(1, "a"), (1, "b"), (2, "a"), (2, "b")]
