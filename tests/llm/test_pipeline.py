@@ -82,6 +82,21 @@ def test_packing(steps):
     assert at == sum(n[r.doc_id] for r in rows)
 
 
+def test_repeated_ids_lose_no_text(spark):
+    """Every distinct text of an id is judged by itself; rows equal in id and text are one document."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    a, b, c = (f"{x} document has its own words and more of them than five " * 3 for x in ("this", "another", "the last"))
+    rows = [(1, a, "en", "s", 1), (1, b, "en", "s", 1), (2, a, "en", "s", 1), (2, c, "en", "s", 1), (1, a, "en", "t", 1), (1, a, None, None, None)]
+    rows += [(None, a, "en", "s", 1), (None, a, "en", "s", 1), (3, None, "en", "s", 1), (3, "", "en", "s", 1)]
+    for order in (rows, rows[::-1]):
+        made = p.drop_near_duplicates(spark, spark.createDataFrame(order, schema).repartition(3), SF)
+        got = Counter((r.doc_id, r.text) for r in made.collect())
+        assert got == Counter([(1, a), (1, b), (2, c), (None, a), (None, a), (3, None), (3, "")])
+        assert made.where("doc_id = 1").select("source").distinct().count() == 1  # the same row whatever their order
+    kept = made.where(made.text == a).where("doc_id = 1").collect()
+    assert [tuple(r) for r in kept] == [(1, a, None, None, None)]
+
+
 def test_edges(spark):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     text = "The text of this document is plain and it has words enough. "
