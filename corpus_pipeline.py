@@ -4,7 +4,8 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
 ``run`` writes each stage's result below the shared checkpoint folder and reads it back as the next one's input.
 
 Rows with nulls, empty and very long texts, repeated rows and empty tables are fine in every stage: a null or empty text
-is not toxic, but has no language and leaves in stage 2; rows that repeat an id are one document from stage 3 on.
+is not toxic, but has no language and leaves in stage 2; rows equal in id and text are one document from stage 3 on, and
+rows that repeat an id with another text or source are documents of their own.
 """
 
 from __future__ import annotations
@@ -41,11 +42,19 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, the one with the smallest id; null ids all stay."""
-    groups = near_duplicates(docs, NEAR_WORDS, NEAR_PERCENT)
-    stays = groups.where("kept and doc_id is not null").select("doc_id").distinct()
-    unique = docs.join(stays, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return unique.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    """One document of each group of near-duplicates stays, the one with the smallest id; null ids all stay.
+
+    Each text of a repeated id is a document of its own. Rows equal in id and text are one document; of those that differ
+    in another column, the smallest (nulls first, columns in their order) stays.
+    """
+    tag = F.xxhash64("text")
+    groups = near_duplicates(docs, NEAR_WORDS, NEAR_PERCENT, tag=tag)
+    stays = groups.where("kept and doc_id is not null").select("doc_id", F.col("tag").alias("tag__")).distinct()
+    tagged = docs.withColumn("tag__", tag)
+    one = F.min(F.struct(*[c for c in docs.columns if c not in ("doc_id", "text")], "text")).alias("row__")
+    # the ids have no size bound: the same shuffle join at every size
+    unique = tagged.join(stays.hint("merge"), ["doc_id", "tag__"], "left_semi").groupBy("doc_id", "tag__").agg(one)
+    return unique.select("doc_id", "row__.*").select(*docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
