@@ -3,9 +3,11 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.llm.pivot_search import best_of_slice, choose_pivots, search
+from ledgerline.llm.hard_negatives import choose_centres, distances, squares
+from ledgerline.llm.pivot_search import TopK, search
 from ledgerline.llm.queries import op7_pivot_search
 
 
@@ -38,7 +40,7 @@ def test_blocks_and_edges(spark):
     rows += [(200, None), (202, []), (204, [1.0, None, 0.0, 0.0]), (206, [nan, 0.0, 0.0, 0.0]), (208, [inf, 0.0, 0.0, 0.0]), (None, [1.0, 1.0, 1.0, 1.0])]
     rows += [(210, [1.0, 2.0]), (212, [0.1, 0.2, 0.3, 0.4, 0.5]), (4, [3.0, 0.0, 0.0, 0.0]), (4, [3.0, 0.0, 0.0, 0.0]), (-6, [0.0, 0.0, 0.0, 0.0])]
     df = spark.createDataFrame([(i, e, 1, "clash") for i, e in rows], "vec_id long, embedding array<float>, label int, score string").repartition(5)
-    got = sorted(tuple(r) for r in search(df, F.col("vec_id") % 2 == 0, k=7, n_pivots=3, block_rows=8, slice_blocks=2).collect())
+    got = sorted(tuple(r) for r in search(df, F.col("vec_id") % 2 == 0, k=7, n_pivots=3, block_rows=8, chunk_rows=16, group_rows=20, sample_rows=30).collect())
     assert got == sorted(brute(rows, lambda i: i % 2 == 0, 7))
     few = df.where("vec_id in (0, 1, 2)")
     assert sorted(tuple(r) for r in search(few, F.col("vec_id") == 0).collect()) == brute([r for r in rows if r[0] in (0, 1, 2)], lambda i: i == 0)
@@ -46,14 +48,46 @@ def test_blocks_and_edges(spark):
     assert search(df.where("vec_id = 10"), F.lit(True)).collect() == []
 
 
-def test_large_components_stay_exact():
-    """Scores beyond 2^53 are computed in integers; bounds never lose a result."""
+def test_no_finite_vector_is_left_out(spark):
+    """Components of any size and 1,024 of them: integer scores, no overflow in the distances."""
+    rows = [(0, [1.0, 2.0]), (20, [2e6, 1.0]), (21, [3.0, -1.0]), (40, [1e30, 0.0]), (41, [-1e30, 1.0]), (60, [3e38, 3e38])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    clip = lambda s: min(max(s, -(2**63) + 1), 2**63 - 1)
+    got = sorted(tuple(r) for r in search(df, F.col("vec_id") % 20 == 0).collect())
+    vectors = {i: [int(64 * x) for x in e] for i, e in rows}
+    want = []
+    for q in (0, 20, 40, 60):
+        scored = sorted((-clip(sum(a * b for a, b in zip(vectors[q], v))), i) for i, v in vectors.items() if i != q)
+        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored)]
+    assert got == sorted(want)
+    rng = np.random.default_rng(5)
+    x = rng.integers(-(10**6), 10**6, (300, 1024))
+    df = spark.createDataFrame([(i, (v / 64.0).tolist()) for i, v in enumerate(x * 64)], "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in search(df, F.col("vec_id") < 5, scale=1, block_rows=64).collect())
+    want = []
+    for q in range(5):
+        scored = sorted((-int(x[q] @ x[i]), i) for i in range(300) if i != q)[:20]
+        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored)]
+    assert got == sorted(want)
+
+
+@pytest.mark.parametrize(("clustered", "share"), [(True, 0.15), (False, 1.0)])
+def test_elimination(clustered, share):
+    """Equal to a scan; on clustered rows only a small share of the pairs is evaluated, on any rows never more than all."""
     rng = np.random.default_rng(2)
-    for top in (2**6, 2**26):
-        x = rng.integers(-top, top, (700, 40))
-        pivots = choose_pivots(x[:100], 5)
-        side = {"ids": np.arange(700), "vectors": x, "norms": (x * x).sum(1), "pivots": np.sqrt(((x[:, None] - pivots[None]).astype(float) ** 2).sum(2))}
-        got = list(zip(*(a.tolist() for a in best_of_slice({k: v[:30] for k, v in side.items()}, side, 9)), strict=True))
-        for i in range(30):
-            want = sorted((-int(x[i] @ x[j]), j) for j in range(700) if j != i)[:9]
-            assert [(j, s) for q, j, s in got if q == i] == [(j, -s) for s, j in want]
+    centres = rng.integers(-3000, 3000, (50, 24))
+    x = (centres[np.sort(rng.integers(0, 50, 6000))] + rng.integers(-80, 80, (6000, 24)) if clustered else rng.integers(-3000, 3000, (6000, 24))).astype(float)
+    pivots = choose_centres(x[::3], 24)
+    blocks = []
+    for s in range(0, 6000, 250):
+        part = x[s : s + 250]
+        blocks.append({"ids": np.arange(s, s + 250), "vectors": part, "x2": squares(part), "pivots": distances(part, pivots)})
+    q = np.arange(0, 6000, 60)
+    found = TopK(q, x[q], pivots, 9)
+    found.through(blocks)
+    got = list(zip(found.best["of"].tolist(), found.best["id"].tolist(), found.best["score"].tolist()))
+    scores = (x[q] @ x.T).astype(np.int64)
+    for k, i in enumerate(q):
+        want = sorted((-int(scores[k, j]), j) for j in range(6000) if j != i)[:9]
+        assert [(j, s) for of, j, s in got if of == k] == [(j, -s) for s, j in want]
+    assert found.evaluated <= share * scores.size
