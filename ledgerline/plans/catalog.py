@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ledgerline.operators import quality as Q
 from ledgerline.plans import checks as C
 from ledgerline.plans import marts as M
+from ledgerline.plans.bucketed import BucketedModels
 from ledgerline.plans.models import BankModels
 from ledgerline.session import scratch_path
 from ledgerline.sources import csv_scan
@@ -25,6 +26,9 @@ from ledgerline.sources.sink import materialize
 from ledgerline.streaming.feeds import FEEDS, unify_available
 from ledgerline.streaming.ingest import ingest_available
 
+#: Buckets of the registered queries' tables.
+BUCKETS = 16
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 def models(spark: SparkSession, sf_dir: str) -> BankModels:
@@ -129,6 +133,15 @@ def _with_models(fn: Callable[[BankModels], DataFrame], name: str) -> Query:
     return run
 
 
+def _bucketed_query(attr: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tables = BucketedModels.write(models(spark, sf_dir), scratch_path(spark, "bucketed"), buckets=BUCKETS)
+        return getattr(tables, attr)()
+
+    run.__name__ = f"bucketed_{attr}"
+    return run
+
+
 QUERIES: dict[str, Query] = {}
 
 # sources and sinks
@@ -162,8 +175,13 @@ for _name in ["dim_account", "dim_calendar", "dim_customer", "fct_account_monthl
 QUERIES["fct_transactions"] = _model_query("fct_transactions", False)
 QUERIES["fct_transactions_literal"] = _model_query("fct_transactions", True)
 QUERIES["kpi_month_over_month"] = _with_models(lambda m: M.kpi_month_over_month(m.report_monthly_business_kpi), "kpi_month_over_month")
+QUERIES["kpi_distinct_accounts"] = _with_models(lambda m: M.monthly_distinct_accounts(m.fct_account_monthly_balances), "kpi_distinct_accounts")
 QUERIES["date_spine"] = date_spine
 
+# the same models over tables bucketed by account
+for _name in ["dim_account", "int_monthly_transaction_summary", "orphan_transactions"]:
+    QUERIES[f"bucketed_{_name}"] = _bucketed_query(_name)
+
 # data quality
 QUERIES["dq_not_null"] = _with_models(C.not_null_report, "dq_not_null")
 QUERIES["dq_unique"] = _with_models(C.unique_report, "dq_unique")

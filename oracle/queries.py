@@ -189,10 +189,8 @@ ORACLE["dq_duplicate_transactions"] = build(
     "SELECT transaction_id, COUNT(*) AS occurrence_count FROM int_unified_transactions GROUP BY transaction_id HAVING COUNT(*) > 1"
 )
 ORACLE["dq_orphan_transactions"] = build(
-    "SELECT t.account_id, COUNT(*) AS orphaned_transactions FROM ("
-    "SELECT account_id FROM stg_pix_movements UNION ALL SELECT account_id FROM stg_transfer_ins "
-    "UNION ALL SELECT account_id FROM stg_transfer_outs) t "
-    "LEFT JOIN stg_accounts a ON t.account_id = a.account_id WHERE a.account_id IS NULL GROUP BY t.account_id"
+    "SELECT account_id, n AS orphaned_transactions FROM (SELECT account_id, COUNT(*) AS n FROM int_unified_transactions GROUP BY ALL) "
+    "WHERE account_id IS NULL OR account_id NOT IN (SELECT account_id FROM stg_accounts)"
 )
 ORACLE["dq_missing_dates"] = _missing_dates()
 ORACLE["dq_calendar_unique_per_date"] = build(
@@ -200,6 +198,16 @@ ORACLE["dq_calendar_unique_per_date"] = build(
 )
 ORACLE["dq_non_empty"] = _non_empty()
 
+for _m in ("dim_account", "int_monthly_transaction_summary"):
+    ORACLE[f"bucketed_{_m}"] = ORACLE[_m]
+ORACLE["bucketed_orphan_transactions"] = ORACLE["dq_orphan_transactions"]
+ORACLE["kpi_distinct_accounts"] = build(
+    "SELECT month_date AS report_month, year, month, COUNT(DISTINCT account_id) AS total_active_accounts, "
+    "COUNT(DISTINCT account_id) FILTER (WHERE has_activity) AS active_accounts, "
+    "COUNT(DISTINCT account_id) FILTER (WHERE is_high_activity) AS high_activity_accounts "
+    "FROM fct_account_monthly_balances WHERE month_date IS NOT NULL GROUP BY ALL"
+)
+
 
 # --- fixed values: freshness classes and limits in hours ---
 FRESH = [("pix_movements", "high_frequency", 4), ("transfer_ins", "high_frequency", 4), ("transfer_outs", "high_frequency", 4),
