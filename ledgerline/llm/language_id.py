@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 
 UNDETERMINED = "und"
 _OTHER = re.compile(r"[\W\d_]+")
-_LETTER = re.compile(r"[^\W\d_]")
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 
 
@@ -71,7 +70,7 @@ class LanguageFilters:
         """Per language the share of the text's n-grams it contains, corrected for false positives; None: no letter."""
         import numpy as np
 
-        if not _LETTER.search(text):
+        if not any(map(str.isalpha, text)):
             return None
         grams = gram_hashes(text, self.n)
         if not len(grams):

@@ -48,9 +48,9 @@ def test_edges(spark):
     )
     model = learn_languages(train)
     assert model.languages == ["de", "en"]
-    rows = [(1, None), (2, ""), (3, "123 !? 🙂"), (4, "the and that " * 50_000), (5, "und nicht"), (5, "und nicht"), (None, "this"), (7, "ЖЖЖ")]
+    rows = [(1, None), (2, ""), (3, "123 !? 🙂"), (4, "the and that " * 50_000), (5, "und nicht"), (5, "und nicht"), (None, "this"), (7, "ЖЖЖ"), (8, "²"), (9, "①②"), (10, "Ⅷ 4"), (11, "¼ _")]
     got = identify_languages(spark.createDataFrame([(d, t, None, "clash", "clash") for d, t in rows], schema), model).collect()
-    assert [(r.doc_id, r.lang_pred) for r in got] == [(1, "und"), (2, "und"), (3, "und"), (4, "en"), (5, "de"), (5, "de"), (None, "en"), (7, "de")]
+    assert [(r.doc_id, r.lang_pred) for r in got] == [(1, "und"), (2, "und"), (3, "und"), (4, "en"), (5, "de"), (5, "de"), (None, "en"), (7, "de"), *[(i, "und") for i in (8, 9, 10, 11)]]
     assert [r.score for r in got][:3] == [0, 0, 0] and got[-1].score == 0 and all(0.5 <= r.score <= 1 for r in got[3:7])
     nothing = learn_languages(train.limit(0))
     assert [r.lang_pred for r in identify_languages(train, nothing).collect()] == ["und"] * train.count()
