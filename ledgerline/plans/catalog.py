@@ -21,8 +21,9 @@ from ledgerline.session import scratch_path
 from ledgerline.sources import csv_scan
 from ledgerline.sources.adapter import RawTables
 from ledgerline.functions.timeparse import null_marker, parse_ts
-from ledgerline.sources.schemas import RAW_TABLES
+from ledgerline.sources.schemas import RAW_TABLES, TABLE_KEYS
 from ledgerline.sources.sink import materialize
+from ledgerline.streaming import pipes
 from ledgerline.streaming.feeds import FEEDS, unify_available
 from ledgerline.streaming.ingest import ingest_available
 
@@ -108,6 +109,17 @@ def stream_unified_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unify_available(spark, root, sink, ckpt)
 
 
+def stream_ingest_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 13 tables loaded by one stream: rows and sum of the keys per loaded table."""
+    landing, raw_root = _export_csv(spark, sf_dir, list(RAW_TABLES)), scratch_path(spark, "stream", "all")
+    pipes.load_available(spark, landing, raw_root, scratch_path(spark, "stream", "all-checkpoint"))
+    sums = [
+        pipes.loaded_table(spark, raw_root, t).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.col(k).cast("decimal(28,0)")).cast("decimal(38,0)").alias("key_sum")).select(F.lit(t).alias("table_name"), "n_rows", "key_sum")
+        for t, k in TABLE_KEYS.items()
+    ]
+    return Q.union_all(sums)
+
+
 def materialize_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = models(spark, sf_dir)
     path = scratch_path(spark, "tables", "fct_account_monthly_balances")
@@ -154,6 +166,7 @@ QUERIES["stream_ingest_pix"] = _pipe_query("pix_movements")
 QUERIES["stream_ingest_transfer_ins"] = _pipe_query("transfer_ins")
 QUERIES["stream_ingest_transfer_outs"] = _pipe_query("transfer_outs")
 QUERIES["stream_unified_transactions"] = stream_unified_transactions
+QUERIES["stream_ingest_all"] = stream_ingest_all
 QUERIES["materialize_roundtrip"] = materialize_roundtrip
 
 # staging and base

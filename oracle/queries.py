@@ -166,6 +166,9 @@ for _t in ("transfer_ins", "transfer_outs"):
         f"SELECT id, account_id, amount, {_asked} AS transaction_requested_at, {_done} AS transaction_completed_at, status FROM {_t}"
     )
 ORACLE["list_input_files"] = build(_union([f"SELECT '{t}' AS table_name, CAST(COUNT(*) AS BIGINT) AS n_rows FROM {t}" for t in RAW]))
+ORACLE["stream_ingest_all"] = build(_union(
+    [f"SELECT '{t}' AS table_name, CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(SUM({k}) AS DECIMAL(38,0)) AS key_sum FROM {t}" for t, k in TABLE_KEYS.items()]
+))
 ORACLE["stream_unified_transactions"] = model("int_unified_transactions")
 ORACLE["materialize_roundtrip"] = model("fct_account_monthly_balances")
 for _m in [
