@@ -97,6 +97,11 @@ def severity(failures: Column, warn_over: int, error_over: int) -> Column:
     return F.when(failures > error_over, "error").when(failures > warn_over, "warn").otherwise("pass")
 
 
+def out_of_range(c: Column, min_value: float = L.RANGE_MIN, max_value: float = L.RANGE_MAX) -> Column:
+    low, high = F.lit(str(min_value)).cast("decimal(18,2)"), F.lit(str(max_value)).cast("decimal(18,2)")
+    return (c < low) | (c > high)
+
+
 def accepted_range_summary(
     df: DataFrame,
     model: str,
@@ -106,8 +111,7 @@ def accepted_range_summary(
     warn_over: int = L.RANGE_WARN_OVER,
     error_over: int = L.RANGE_ERROR_OVER,
 ) -> DataFrame:
-    c, low, high = F.col(column), F.lit(str(min_value)).cast("decimal(18,2)"), F.lit(str(max_value)).cast("decimal(18,2)")
-    agg = df.agg(F.count_if((c < low) | (c > high)).alias("failures"))
+    agg = df.agg(F.count_if(out_of_range(F.col(column), min_value, max_value)).alias("failures"))
     return _tag(agg, model, column).select(
         "model", "column_name", "failures", severity(F.col("failures"), warn_over, error_over).alias("status")
     )
@@ -119,19 +123,19 @@ def expression_summary(df: DataFrame, model: str, column: str, label: str, condi
     return _tag(agg, model, column).select("model", "column_name", F.lit(label).alias("expression"), "failures")
 
 
-def row_count_check(df: DataFrame, model: str, above: int = 0, below: int | None = None) -> DataFrame:
-    """One row: the count, the limits and TOO_FEW_ROWS / TOO_MANY_ROWS / NULL."""
-    n = F.col("actual_count")
+def row_count_verdict(n: Column, model: Column, above: Column, below: int | None = None) -> list[Column]:
+    """The count, the limits and TOO_FEW_ROWS / TOO_MANY_ROWS / NULL."""
     err = F.when(n < above, "TOO_FEW_ROWS")
     if below is not None:
         err = err.when(n > below, "TOO_MANY_ROWS")
-    return df.agg(F.count(F.lit(1)).alias("actual_count")).select(
-        "actual_count",
-        F.lit(above).cast("bigint").alias("min_expected"),
-        F.lit(below).cast("bigint").alias("max_expected"),
-        F.lit(model).alias("model_name"),
-        err.alias("error_type"),
-    )
+    limits = [above.cast("bigint").alias("min_expected"), F.lit(below).cast("bigint").alias("max_expected")]
+    return [n.alias("actual_count"), *limits, model.alias("model_name"), err.alias("error_type")]
+
+
+def row_count_check(df: DataFrame, model: str, above: int = 0, below: int | None = None) -> DataFrame:
+    """One row with the verdict (``row_count_verdict``)."""
+    n = df.agg(F.count(F.lit(1)).alias("actual_count"))
+    return n.select(*row_count_verdict(F.col("actual_count"), F.lit(model), F.lit(above), below))
 
 
 def row_count_failures(df: DataFrame, model: str, above: int = 0, below: int | None = None) -> DataFrame:

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.functions import labels as L
 from ledgerline.functions.timeparse import parse_ts_of
 from ledgerline.operators import quality as Q
 from ledgerline.plans.models import BankModels
@@ -62,10 +63,42 @@ def _not_null_bindings(m: BankModels) -> list[tuple[str, list[str]]]:
     return raw + list(STAGING_NOT_NULL.items())
 
 
+FEEDS = {"transfer_ins": "stg_transfer_ins", "transfer_outs": "stg_transfer_outs"}
+
+
+def transfer_sums(m: BankModels, **sums: Column) -> DataFrame | None:
+    """(raw, staged, ...): one row per transfer feed with ``sums`` over its raw rows, all in one pass over the feeds where
+    the source has them in one table (None elsewhere). The staged model of a feed is its rows with status ``completed``
+    (``kept``), with amount, id and account under other names."""
+    both = getattr(m.raw, "transfers", None)
+    if both is None or set(FEEDS.values()) & m._overrides.keys():
+        return None
+    rows = both.select(F.when(F.col("feed") == "in", "transfer_ins").otherwise("transfer_outs").alias("raw"), "id", "account_id", "amount", "status")
+    found = rows.groupBy("raw").agg(*[c.alias(n) for n, c in sums.items()])
+    listed = both.sparkSession.createDataFrame(list(FEEDS.items()), "raw string, staged string")
+    return listed.join(found, "raw", "left").select("raw", "staged", *[F.coalesce(F.col(n), F.lit(0)).cast("bigint").alias(n) for n in sums])
+
+
+def kept() -> Column:
+    """Raw rows that staging keeps."""
+    return F.coalesce(F.col("status") == "completed", F.lit(False))
+
+
 def not_null_report(m: BankModels) -> DataFrame:
-    """model, column_name, failures for every not_null binding (one scan per model)."""
-    frames = []
-    for model, cols in _not_null_bindings(m):
+    """model, column_name, failures for every not_null binding (one scan per model; both transfer feeds, raw and staged,
+    share one)."""
+    frames, shared = [], set()
+    sums = transfer_sums(
+        m, key=F.count_if(F.col("id").isNull()), **{f"s_{c}": F.count_if(kept() & F.col(c).isNull()) for c in ("id", "account_id", "amount")}
+    )
+    if sums is not None:
+        shared = FEEDS.keys() | set(FEEDS.values())
+        cell = lambda model, column, n: F.struct(F.col(model).alias("model"), F.lit(column).alias("column_name"), n.alias("failures"))
+        # the direction of a staged transfer is a literal
+        cells = [cell("raw", "id", F.col("key")), cell("staged", "transaction_id", F.col("s_id")), cell("staged", "account_id", F.col("s_account_id")),
+                 cell("staged", "transaction_amount", F.col("s_amount")), cell("staged", "transaction_direction", F.lit(0).cast("bigint"))]
+        frames.append(sums.select(F.inline(F.array(*cells))))
+    for model, cols in [b for b in _not_null_bindings(m) if b[0] not in shared]:
         agg = _model(m, model).agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
         long = agg.unpivot([], cols, "column_name", "failures")
         frames.append(long.select(F.lit(model).alias("model"), "column_name", "failures"))
@@ -117,7 +150,13 @@ def relationships_report(m: BankModels) -> DataFrame:
 
 
 def accepted_range_report(m: BankModels) -> DataFrame:
-    return Q.union_all(Q.accepted_range_summary(_model(m, t), t, c) for t, c in RANGE_COLUMNS)
+    c = F.col("amount")
+    sums = transfer_sums(m, failures=F.count_if(kept() & Q.out_of_range(c)))
+    if sums is None:
+        return Q.union_all(Q.accepted_range_summary(_model(m, t), t, c) for t, c in RANGE_COLUMNS)
+    status = Q.severity(F.col("failures"), L.RANGE_WARN_OVER, L.RANGE_ERROR_OVER).alias("status")
+    feeds = sums.select(F.col("staged").alias("model"), F.lit("transaction_amount").alias("column_name"), "failures", status)
+    return Q.union_all([feeds, *(Q.accepted_range_summary(_model(m, t), t, c) for t, c in RANGE_COLUMNS if t not in FEEDS.values())])
 
 
 def expression_report(m: BankModels) -> DataFrame:
@@ -131,7 +170,13 @@ def expression_report(m: BankModels) -> DataFrame:
 
 
 def row_count_report(m: BankModels) -> DataFrame:
-    return Q.union_all(Q.row_count_check(_model(m, t), t, above=a) for t, a in ROW_COUNTS)
+    above = dict(ROW_COUNTS)
+    sums = transfer_sums(m, n=F.count_if(kept()))
+    if sums is None:
+        return Q.union_all(Q.row_count_check(_model(m, t), t, above=a) for t, a in ROW_COUNTS)
+    limit = F.create_map(*[F.lit(x) for t in FEEDS.values() for x in (t, above[t])])[F.col("staged")]
+    feeds = sums.select(*Q.row_count_verdict(F.col("n"), F.col("staged"), limit))
+    return Q.union_all([feeds, *(Q.row_count_check(_model(m, t), t, above=a) for t, a in ROW_COUNTS if t not in FEEDS.values())])
 
 
 def data_date_span(m: BankModels) -> DataFrame:

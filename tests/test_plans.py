@@ -84,7 +84,7 @@ def test_summaries_read_the_facts_once(large_tables, key):
     assert scans["lineitem"] == 1 and scans["orders"] <= 2
 
 
-@pytest.mark.parametrize(("key", "most"), [("int_unified_transactions", 1), ("dq_relationships", 1), ("dq_orphan_transactions", 1), ("dq_unique", 1), ("dq_missing_dates", 0)])
+@pytest.mark.parametrize(("key", "most"), [("int_unified_transactions", 1), ("dq_relationships", 1), ("dq_orphan_transactions", 1), ("dq_unique", 1), ("dq_missing_dates", 0), ("dq_not_null", 1), ("dq_accepted_range", 1), ("dq_row_count", 1)])
 def test_checks_share_scans(large_tables, key, most):
     assert _final_scans(large_tables, key)["lineitem"] <= most
 
