@@ -18,7 +18,36 @@ from ledgerline.session import scratch_path
 SPACE = r"[\x20\x09-\x0D]+"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the package to the Python workers, once per application: its sources as one zip in the shared folder. Where the
+    package is installed on the workers, or on their PYTHONPATH, this changes nothing."""
+    import io
+    import zipfile
+    from pathlib import Path
+
+    import ledgerline
+
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    top, packed = Path(ledgerline.__file__).parent, io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(top.rglob("*.py")):
+            z.write(f, str(Path(top.name) / f.relative_to(top)))
+    folder = scratch_path(spark, "code")
+    files, path = shared_fs(folder)
+    files.create_dir(path, recursive=True)
+    write_shared(f"{folder}/{top.name}.zip", packed.getvalue())
+    spark.sparkContext.addPyFile(f"{folder}/{top.name}.zip")
+    _SHIPPED.add(app)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; what reads it may run the package's code on the workers."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
