@@ -55,3 +55,33 @@ def test_edges(spark):
     nothing = learn_languages(train.limit(0))
     assert [r.lang_pred for r in identify_languages(train, nothing).collect()] == ["und"] * train.count()
     assert identify_languages(train.limit(0), model).collect() == []
+
+
+def test_filters_against_exact_sets(spark, monkeypatch):
+    """Every document's rates, from the whole text, against the very sets the filters hold: the correction is as close as
+    the filters' false positives allow, and the language is the exact one wherever that is clear."""
+    seen = {}
+    real = LanguageFilters.build
+
+    def build(languages, sets, *args):
+        seen.update(zip(languages, (set(s) for s in sets), strict=True))
+        return real(languages, sets, *args)
+
+    monkeypatch.setattr(LanguageFilters, "build", staticmethod(build))
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = learn_languages(docs)
+    found = {r.doc_id: r for r in identify_languages(docs, model).collect()}
+    clear = 0
+    for r in docs.collect():
+        rates = model.hit_rates(r.text or "")
+        if rates is None:
+            assert found[r.doc_id].lang_pred == "und"
+            continue
+        grams = [int(g) for g in gram_hashes(r.text, model.n)]
+        exact = [sum(g in seen[lang] for g in grams) / max(1, len(grams)) for lang in model.languages]
+        assert max(abs(a - b) for a, b in zip(rates, exact)) < 0.02
+        top, second = sorted(exact)[-1], sorted(exact)[-2]
+        if top - second > 0.04:
+            clear += 1
+            assert found[r.doc_id].lang_pred == model.languages[exact.index(top)]
+    assert clear > 0.9 * len(found)
