@@ -25,9 +25,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import let
+from ledgerline.operators.joins import fits
 
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 ASSISTANT = "assistant"
+#: Folding turns (two longs and a flag each) up to which they are broadcast.
+MAX_BROADCAST_TURNS = 200_000
 #: Messages that are rendered together.
 BLOCK = 128
 LAST = 2**63 - 1
@@ -79,9 +82,11 @@ def messages_of(rows: DataFrame) -> DataFrame:
     text without nulls). Turns that hold messages only need no fold and are never gathered."""
     folding = rows.groupBy("conv_id", "turn").agg(F.max(F.col("kind") != "message").alias("folds")).where("folds")
     turn = [F.col(c).eqNullSafe(F.col(f"f_{c}")) for c in ("conv_id", "turn")]
-    # shiftright by 0: both sides get an exchange of their own, so that AQE can split a very long turn
+    # few turns: broadcast behind a count, so that no text is shuffled for them; else a shuffle join, where shiftright by
+    # 0 gives both sides an exchange of their own, so that AQE can split a very long turn
     marks = folding.select(F.shiftright("conv_id", 0).alias("f_conv_id"), F.shiftright("turn", 0).alias("f_turn"), "folds")
-    marked = rows.join(marks.hint("merge"), turn[0] & turn[1], "left").select(*rows.columns, "folds")
+    marks = F.broadcast(marks) if fits(marks, MAX_BROADCAST_TURNS) else marks.hint("merge")
+    marked = rows.join(marks, turn[0] & turn[1], "left").select(*rows.columns, "folds")
     plain = marked.where("folds is null").select("conv_id", "turn", "seq", "role", "text")
     is_delta = F.col("kind") == "delta"
     order = Window.partitionBy("conv_id", "turn").orderBy("seq", "kind", "role", "text")

@@ -76,8 +76,10 @@ def test_long_conversation_crosses_blocks(spark):
     check(spark, rows)
 
 
-def test_random_logs(spark):
-    """Any order of kinds, ties and nulls, runs of deltas, deletes of what isn't there."""
+@pytest.mark.parametrize("most", [0, 200_000])
+def test_random_logs(spark, monkeypatch, most):
+    """Any order of kinds, ties and nulls, runs of deltas, deletes of what isn't there; folding turns few or many."""
+    monkeypatch.setattr(c, "MAX_BROADCAST_TURNS", most)
     rnd = random.Random(7)
     kinds = ["message", "delta", "delta", "delta", "edit", "regenerate", "delete", "odd", None]
     rows = [
