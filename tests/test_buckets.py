@@ -59,6 +59,35 @@ def test_hot_accounts_are_apart(spark):
     assert digest(cold.unionByName(hot)) == digest(M.account_activity(facts))
 
 
+def test_hot_keys_are_not_searched_in_one_task(spark):
+    """Only the found keys meet in one partition: the counts are filtered where they are (the key counts once ran in the
+    task that writes the keys)."""
+    root = tempfile.mkdtemp(prefix="ll-hotkeys-")
+    facts = spark.range(0, 9000, 1, 6).selectExpr("if(id % 3 = 0, 7, id) AS k")
+    t = B.write_bucketed(facts, f"{root}/t", "k", 4)
+    counts = spark.read.parquet(f"{root}/t/key_counts")
+    assert counts.count() == 6000
+    found = B.hot_keys(counts, "k", 4, 9000)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce" not in plan and "Aggregate" not in plan and plan.index("Exchange SinglePartition") < plan.index("Filter")
+    assert [r.k for r in found.collect()] == [r.k for r in t.hot_keys.collect()] == [7]
+
+
+def test_buckets_follow_the_rows(spark, monkeypatch):
+    """Four times the rows: four times the buckets, none fuller; exact where the number is given."""
+    monkeypatch.setattr(B, "ROWS_PER_BUCKET", 500)
+    root = tempfile.mkdtemp(prefix="ll-grow-")
+    fullest = []
+    for rows, buckets in ((1500, 4), (4000, 8), (16_000, 32)):
+        df = spark.range(rows).selectExpr("id AS k")
+        t = B.write_bucketed(df, f"{root}/g{rows}", "k", 4, grow=True)
+        assert t.buckets == buckets and t.all().count() == rows
+        fullest.append(max(r["count"] for r in t.cold.groupBy(F.pmod(F.hash("k"), F.lit(buckets))).count().collect()))
+        assert B.write_bucketed(df, f"{root}/f{rows}", "k", 4).buckets == 4
+    assert max(fullest) < 2 * 500
+    assert B.write_bucketed(spark.range(0).selectExpr("id AS k"), f"{root}/e", "k", 4, grow=True).buckets == 4
+
+
 def test_another_session_attaches_the_folder(spark):
     root = tempfile.mkdtemp(prefix="ll-attach-")
     made = B.write_bucketed(spark.range(100).selectExpr("id % 10 AS k", "cast(id AS string) AS v"), f"{root}/t", "k", 4)
