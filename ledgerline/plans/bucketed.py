@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ledgerline.plans import intermediate as I
 from ledgerline.plans import marts as M
 from ledgerline.plans.models import BankModels
-from ledgerline.sources.buckets import Bucketed, attach, grouped, split_by_hot, write_bucketed
+from ledgerline.sources.buckets import Bucketed, attach, buckets_for, grouped, split_by_hot, write_bucketed
 
 KEY = "account_id"
 #: Columns of the enriched transactions that the models below read.
@@ -34,9 +34,12 @@ class BucketedModels:
 
     @staticmethod
     def write(graph: BankModels, root: str, buckets: int = 64) -> BucketedModels:
-        """Write the three tables below ``root``. ``buckets``: about the fact table's bytes / 1 GB, the same for all."""
+        """Write the three tables below ``root``, all in the same number of buckets: at least ``buckets``, more where the
+        accounts or the transactions need them (``buckets_for``)."""
         root = root.rstrip("/")
-        unified = write_bucketed(graph.int_unified_transactions, f"{root}/unified", KEY, buckets)
+        least = buckets_for(graph.stg_accounts.count(), buckets)
+        unified = write_bucketed(graph.int_unified_transactions, f"{root}/unified", KEY, least, grow=True)
+        buckets = unified.buckets
         # enriched from the written table, as in a full run: nothing is built twice
         enriched = I.int_transactions_enriched(unified.all(), graph.base_time_dimension, calendar_fits=graph.calendar_fits)
         return BucketedModels(

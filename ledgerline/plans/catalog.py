@@ -27,7 +27,7 @@ from ledgerline.streaming import pipes
 from ledgerline.streaming.feeds import FEEDS, unify_available
 from ledgerline.streaming.ingest import ingest_available
 
-#: Buckets of the registered queries' tables.
+#: Least buckets of the registered queries' tables; larger tables have more.
 BUCKETS = 16
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -88,6 +88,14 @@ def test_buckets_follow_the_rows(spark, monkeypatch):
     assert B.write_bucketed(spark.range(0).selectExpr("id AS k"), f"{root}/e", "k", 4, grow=True).buckets == 4
 
 
+@pytest.mark.parametrize(("model", "query"), [("dim_account", None), ("int_monthly_transaction_summary", None), ("orphan_transactions", "dq_orphan_transactions")])
+def test_models_over_more_buckets(spark, monkeypatch, model, query):
+    monkeypatch.setattr(B, "ROWS_PER_BUCKET", 300)
+    t = BucketedModels.write(models(spark, SF), tempfile.mkdtemp(prefix="ll-more-") + "/t", buckets=2)
+    assert t.unified.buckets == t.enriched.buckets == t.accounts.buckets == B.buckets_for(t.unified.all().count(), 2) > 2
+    assert digest(getattr(t, model)()) == digest(QUERIES[query or model](spark, SF))
+
+
 def test_another_session_attaches_the_folder(spark):
     root = tempfile.mkdtemp(prefix="ll-attach-")
     made = B.write_bucketed(spark.range(100).selectExpr("id % 10 AS k", "cast(id AS string) AS v"), f"{root}/t", "k", 4)
