@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import quality as Q
 from ledgerline.plans import checks as C
+from ledgerline.plans import intermediate as I
 from ledgerline.plans import marts as M
 from ledgerline.plans.bucketed import BucketedModels
 from ledgerline.plans.models import BankModels
@@ -123,8 +124,14 @@ def stream_ingest_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 def materialize_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = models(spark, sf_dir)
     path = scratch_path(spark, "tables", "fct_account_monthly_balances")
+    if not m.calendar_fits:  # the months are joined by a shuffle, so only the finished rows can be clustered
+        return materialize(m.fct_account_monthly_balances, path, cluster_by=["account_id", "month_date"], bloom_columns=["account_id"])
+    # one row per account is clustered, not one per account and month: its months follow in order. The number of files is
+    # given, as partitions merged by their size would be too few for the rows that the accounts expand to.
+    accounts = I.accounts_with_months(m.stg_accounts, I.monthly_measures(m.int_transactions_enriched))
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return materialize(
-        m.fct_account_monthly_balances, path, cluster_by=["account_id", "month_date"], bloom_columns=["account_id"]
+        accounts, path, cluster_by=["account_id"], expand=m.balances_of_accounts, bloom_columns=["account_id"], files_per_write=files
     )
 
 

@@ -173,6 +173,11 @@ def on_own_months(
     account, where the spine's months look themselves up: the spine itself is never shuffled. Rows without a month only
     widen the range.
     """
+    return expand_months(accounts_with_months(stg_accounts, per_month), calendar, as_of, default_start, calendar_fits)
+
+
+def accounts_with_months(stg_accounts: DataFrame, per_month: DataFrame) -> DataFrame:
+    """One row per spine account: its date range and the map of its months' measures (null without transactions)."""
     measures = [c for c in per_month.columns if c not in ("account_id", "month_date", "first_day", "last_day")]
     entry = F.struct("month_date", F.struct(*measures).alias("m"))
     per_account = per_month.groupBy("account_id").agg(
@@ -180,8 +185,16 @@ def on_own_months(
         F.max("last_day").alias("last_transaction_date"),
         F.map_from_entries(F.collect_list(F.when(F.col("month_date").isNotNull(), entry))).alias("months"),
     )
+    return _spine_accounts(stg_accounts).join(per_account, "account_id", "left")
+
+
+def expand_months(
+    own: DataFrame, calendar: DataFrame, as_of: dt.date, default_start: dt.date = DEFAULT_START, calendar_fits: bool | None = None
+) -> DataFrame:
+    """``accounts_with_months`` -> one row per account and month, an account's months in ascending order. Nothing is
+    shuffled while the calendar is broadcast."""
+    measures = own.schema["months"].dataType.valueType.names
     found = lambda d: F.struct(d.alias("month_date"), F.try_element_at(F.col("months"), d).alias("m"))
-    own = _spine_accounts(stg_accounts).join(per_account, "account_id", "left")
     rows = own.select("account_id", F.inline(F.transform(_own_months(default_start, as_of), found)))
     j = rows.join(_calendar_months(calendar, calendar_fits), "month_date", "inner")
     return j.select("account_id", "year", "month", "month_date", *[F.col(f"m.{c}").alias(c) for c in measures])

@@ -185,6 +185,11 @@ class BankModels:
             "fct_account_monthly_balances", lambda: M.fct_account_monthly_balances(self.int_monthly_transaction_summary)
         )
 
+    def balances_of_accounts(self, accounts: DataFrame) -> DataFrame:
+        """``fct_account_monthly_balances`` of ``intermediate.accounts_with_months``: row by row, in the accounts' order."""
+        on_spine = I.expand_months(accounts, self.base_time_dimension, self.as_of, self.default_start, self.calendar_fits)
+        return M.fct_account_monthly_balances(I.monthly_summary(on_spine))
+
     @property
     def report_monthly_business_kpi(self) -> DataFrame:
         # The spine is unique per (account, month_date, year, month) by construction

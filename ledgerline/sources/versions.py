@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -75,18 +75,23 @@ class VersionedTables:
         partition_by: Sequence[str] = (),
         files_per_write: int | None = None,
         max_records_per_file: int = MAX_RECORDS_PER_FILE,
+        expand: Callable[[DataFrame], DataFrame] | None = None,
     ) -> DataFrame:
         """Write a new version of ``table`` and return it read back; readers don't see it before ``publish``.
 
         ``cluster_by`` becomes a range partitioning plus a sort within each file; ``split_by`` adds a unique tie-break to
         the range keys, so one hot cluster-key value is cut across many tasks; files stay sorted by the cluster keys
         first. ``max_records_per_file`` bounds file size whatever the partition sizes are.
+
+        ``expand`` makes the table's rows from the clustered rows of ``df``, each its own (no shuffle): few rows are
+        sampled, shuffled and sorted where each of them stands for many of the table.
         """
         out = df
         if cluster_by:
             keys = [*cluster_by, *split_by]
             out = out.repartitionByRange(files_per_write, *keys) if files_per_write else out.repartitionByRange(*keys)
             out = out.sortWithinPartitions(*keys)
+        out = expand(out) if expand else out
         writer = out.write.option("maxRecordsPerFile", max_records_per_file)
         for c in bloom_columns:
             writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")

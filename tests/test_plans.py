@@ -7,8 +7,10 @@ when the fact and account tables are large.
 import os
 import re
 
+import pyarrow.parquet as pq
 import pytest
 
+from ledgerline.plans import catalog
 from ledgerline.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -105,3 +107,40 @@ def test_times_are_parsed_once(large_tables, key):
     assert text.count("as bigint) AS __number_transaction_completed_at") == 1
     assert text.count("RLIKE(__text_transaction_completed_at") == 1
     assert "transaction_requested_at" not in text  # read by none of these models, so not parsed
+
+
+def test_materialized_balances_cluster_accounts(large_tables, monkeypatch):
+    """One row per account is sampled, shuffled and sorted; its months are expanded after that, without an exchange."""
+    seen = {}
+
+    def record(df, path, **layout):
+        seen.update(layout, df=df)
+        return df
+
+    monkeypatch.setattr(catalog, "materialize", record)
+    QUERIES["materialize_roundtrip"](large_tables, SF)
+    accounts = catalog.models(large_tables, SF).stg_accounts.where("account_status = 'active'").select("account_id").distinct().count()
+    assert seen["df"].count() == accounts > 0
+    clustered = seen["df"].repartitionByRange(4, *seen["cluster_by"]).sortWithinPartitions(*seen["cluster_by"])
+    plan = seen["expand"](clustered)._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("Generate inline", 1)
+    assert "Exchange hashpartitioning(account_id" not in above and "rangepartitioning" not in above and "SortMergeJoin" not in above
+    assert below.index("Sort [account_id") < below.index("Exchange rangepartitioning(account_id") < below.index("ObjectHashAggregate")
+
+
+def test_materialized_balances_lie_in_order(spark):
+    """Files hold disjoint account ranges, rows in the order of account and month, as the layout promises."""
+    made = QUERIES["materialize_roundtrip"](spark, SF)
+    files = [pq.ParquetFile(f.removeprefix("file://")).read(["account_id", "month_date"]).to_pylist() for f in made.inputFiles()]
+    rows = [[(r["account_id"], r["month_date"]) for r in f] for f in files if f]
+    assert len(rows) > 1 and sum(map(len, rows)) == made.count()
+    assert all(f == sorted(f) for f in rows)
+    ends = sorted((f[0][0], f[-1][0]) for f in rows)
+    assert all(a[1] < b[0] for a, b in zip(ends, ends[1:], strict=False))
+
+
+def test_fallback_without_a_small_calendar(spark, monkeypatch):
+    """Where the calendar isn't broadcast, the finished rows are clustered; both layouts hold the same rows."""
+    want = sorted(map(repr, QUERIES["materialize_roundtrip"](spark, SF).collect()))
+    monkeypatch.setattr(catalog.BankModels, "calendar_fits", False)
+    assert sorted(map(repr, QUERIES["materialize_roundtrip"](spark, SF).collect())) == want
